@@ -94,11 +94,11 @@ def story_count(text: Column, marker: str = "story", legacy: bool = False) -> Co
 
 
 def repaired_story_count(value: Column, text: Column, low: float = 1, high: float = 15,
-                         marker: str = "story") -> Column:
+                         marker: str = "story", legacy: bool = False) -> Column:
     """Implausible or missing counts are read from the text when it mentions them."""
     doubtful = value.isNull() | (value < low) | (value > high)
     mentioned = F.coalesce(text.contains(marker), F.lit(False))
-    return F.when(doubtful & mentioned, story_count(text, marker).cast("double")).otherwise(
+    return F.when(doubtful & mentioned, story_count(text, marker, legacy).cast("double")).otherwise(
         value.cast("double"))
 
 
