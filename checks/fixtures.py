@@ -293,6 +293,11 @@ def sql_tokens(text: str, min_length: int) -> str:
             f"lambda w: length(w) >= {min_length})")
 
 
+def sql_list(words) -> str:
+    """A list of strings as a SQL literal."""
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
 # how much longer (log10) documents holding a term are than the average document
 TERMS = f"""doc_words AS (SELECT doc_id, log10(n_chars) AS size, {sql_tokens('text', 2)} AS words FROM documents),
 doc_terms AS (SELECT size, unnest(list_distinct(words)) AS term FROM doc_words),

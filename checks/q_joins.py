@@ -85,12 +85,12 @@ def _(spark, sf):
 
 
 @check("jon_05_nearby_summary", f"""WITH {fx.POINTS} SELECT a.point_id, count(*) AS nearby,
- round(avg(b.balance), 4) AS nearby_mean FROM points a JOIN points b
+ round(avg(b.balance), 7) AS nearby_mean FROM points a JOIN points b
  ON abs(a.x - b.x) < 0.3 AND abs(a.y - b.y) < 0.2 GROUP BY a.point_id""")
 def _(spark, sf):
     pts = fx.points(spark, sf)
     out = spatial.nearby_summary(pts.drop("balance"), pts, "x", "y", "balance", 0.3, 0.2)
-    return out.select("point_id", "nearby", F.round("nearby_mean", 4).alias("nearby_mean"))
+    return out.select("point_id", "nearby", F.round("nearby_mean", 7).alias("nearby_mean"))
 
 
 @check("jon_06_attach_by_key", """SELECT o_orderkey, o_totalprice, lines FROM orders LEFT JOIN

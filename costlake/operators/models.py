@@ -67,7 +67,7 @@ def shallow_boosted_trees(label: str = "label", rounds: int = 300, depth: int =
 
 
 def penalised_linear(train: DataFrame, alpha: float, l1_ratio: float, label: str = "label",
-                     iterations: int = 200) -> LinearRegression:
+                     iterations: int = 100, tolerance: float = 1e-6) -> LinearRegression:
     """Elastic net with the penalty meant on the mean-squared objective
     ``|y - Xw|^2 / 2n + alpha * (l1 * |w| + (1 - l1) / 2 * |w|^2)``.
 
@@ -77,18 +77,18 @@ def penalised_linear(train: DataFrame, alpha: float, l1_ratio: float, label: str
     deviation = train.agg(F.stddev_samp(label)).first()[0] or 1.0
     total = alpha * (l1_ratio + deviation * (1 - l1_ratio))
     return LinearRegression(featuresCol="features", labelCol=label, solver="l-bfgs", maxIter=iterations,
-                            tol=1e-9, regParam=total,
+                            tol=tolerance, regParam=total,
                             elasticNetParam=(alpha * l1_ratio / total) if total else 0.0,
                             standardization=False)
 
 
-def ridge(train: DataFrame, alpha: float, label: str = "label", iterations: int = 200) -> LinearRegression:
+def ridge(train: DataFrame, alpha: float, label: str = "label", **limits) -> LinearRegression:
     """Ridge with the penalty meant on the sum of squares: ``|y - Xw|^2 + alpha * |w|^2``."""
-    return penalised_linear(train, alpha / train.count(), 0.0, label, iterations)
+    return penalised_linear(train, alpha / train.count(), 0.0, label, **limits)
 
 
-def lasso(train: DataFrame, alpha: float, label: str = "label", iterations: int = 200) -> LinearRegression:
-    return penalised_linear(train, alpha, 1.0, label, iterations)
+def lasso(train: DataFrame, alpha: float, label: str = "label", **limits) -> LinearRegression:
+    return penalised_linear(train, alpha, 1.0, label, **limits)
 
 
 # ------------------------------------------- quadratic kernel ridge, explicit

@@ -66,9 +66,10 @@ def feature_rows(cleaned: DataFrame, table: CostTable = PERMITS, low: float = 0.
 
 def build_layers(spark: SparkSession, source: str | list[str], out: str, source_name: str,
                  dataset_id: str, table: CostTable = PERMITS, multiline: bool = True,
-                 files: int | None = None) -> Layers:
+                 files: int | None = None, exact_bounds: bool = False) -> Layers:
     """The whole path from CSV to the feature table below ``out``."""
     raw = ingest(spark, source, f"{out}/raw", source_name, dataset_id, multiline)
     cleaned = tables.write_verified(cleaned_rows(raw, table), f"{out}/cleaned")
-    ready = tables.write_verified(feature_rows(cleaned, table), f"{out}/ready", files)
+    ready = tables.write_verified(feature_rows(cleaned, table, exact_bounds=exact_bounds),
+                                  f"{out}/ready", files)
     return Layers(raw, cleaned, ready)

@@ -14,6 +14,7 @@ from costlake.operators import cleaning, encode, explain, features, metrics, mod
 from costlake.operators.profile import columns_with_values
 from costlake.plans import permits
 from costlake.plans.permits import PERMITS, CostTable
+from costlake.session import settle
 from costlake.sources.models import save_model
 
 BASELINE = "median_baseline"
@@ -60,7 +61,7 @@ def _measured(scored: DataFrame) -> DataFrame:
 
 
 def _choose(fitted: dict[str, Model], scored: DataFrame, exclude: list[str]) -> Trained:
-    measured = _measured(scored).persist(StorageLevel.MEMORY_AND_DISK)
+    measured = settle(_measured(scored))  # a handful of rows, kept past the caches they came from
     on_validation = measured.filter(F.col("split") == "validation")
     best = ranking.best_row(on_validation, "rmse", "model", exclude=exclude).first()["model"]
     return Trained(fitted, measured, best, metrics.improvement(measured, BASELINE))
@@ -97,7 +98,6 @@ def compare_structured(ready: DataFrame, policy: Policy = Policy(), table: CostT
             ["split", "target_cost", "label"])
         result = _choose(fitted, _with_baseline(train, vectors.filter(F.col("split") != "train"),
                                                 scored, policy), exclude=[BASELINE])
-        result.metrics.count()
     finally:
         vectors.unpersist()
     if model_dir is not None:
@@ -131,7 +131,6 @@ def compare_with_text(ready: DataFrame, policy: Policy = Policy(only_source="rev
                 F.lit(name).alias("model"), "split", "target_cost", "label", "prediction")
             scored = part if scored is None else scored.unionByName(part)
         result = _choose(fitted, _with_baseline(train, held_out, scored, policy), exclude=[])
-        result.metrics.count()
     finally:
         rows.unpersist()
     if model_dir is not None and result.best in fitted:
@@ -157,8 +156,8 @@ def explain_text(ready: DataFrame, policy: Policy = Policy(only_source="revised_
                  models.ridge_log_cost(penalty=penalty)]
         model = models.fit_stages(chain, train)
         scored = model.transform(tokens.filter(F.col("split") != "train"))
-        quality = metrics.log_metrics(scored, "label", "prediction", ["split"]).persist()
-        quality.count()
+        quality = metrics.log_metrics(scored, "label", "prediction", ["split"])
+        quality = settle(quality)
     finally:
         tokens.unpersist()
     effects = explain.term_effects(explain.coefficient_rows(
