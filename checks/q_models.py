@@ -176,7 +176,7 @@ def _(spark, sf):
  ('gradient_boosted_trees')) m(model), (VALUES ('validation'), ('test')) s(split)""")
 def _(spark, sf):
     result = training.compare_structured(_ready(spark, sf), POLICY, fx.JOB_TABLE, estimators={
-        "linear_regression": models.ridge_log_cost(iterations=60, solver="auto"),
+        "linear_regression": models.ridge_log_cost(iterations=60),
         "random_forest": models.random_forest(trees=8, depth=5),
         "gradient_boosted_trees": models.boosted_trees(rounds=5, depth=4)})
     return result.metrics.filter(F.col("rmse") > 0).select("model", "split")
@@ -188,7 +188,7 @@ def _folded(spark, sf, folds):
 
 @check("mod_09_cross_validation")
 def _(spark, sf):
-    return models.cross_validated({"ridge": models.ridge_log_cost(solver="normal"),
+    return models.cross_validated({"ridge": models.ridge_log_cost(),
                                    "forest": models.random_forest(trees=4, depth=4)}, _folded(spark, sf, 3), folds=3)
 
 
@@ -209,7 +209,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "scoring")
     training.compare_structured(_ready(spark, sf), POLICY, fx.JOB_TABLE, model_dir=path, estimators={
-        "linear_regression": models.ridge_log_cost(iterations=60, solver="auto")})
+        "linear_regression": models.ridge_log_cost(iterations=60)})
     from costlake.plans.permits import scoring_schema
 
     rows = fx.jobs(spark, sf).withColumns({

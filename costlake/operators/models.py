@@ -19,12 +19,15 @@ from pyspark.sql.types import StructType
 from costlake.functions.features import amount_from_log10
 from costlake.operators.metrics import fold_scores
 from costlake.operators.quantiles import DEFAULT_ACCURACY
+from costlake.session import settle
 
 # ---------------------------------------------------------------- estimators
 
 
 def ridge_log_cost(label: str = "label", penalty: float = 0.05, iterations: int = 80,
-                   solver: str = "l-bfgs") -> LinearRegression:
+                   solver: str = "auto") -> LinearRegression:
+    """Ridge on the log target. ``auto`` solves up to 4096 features in one pass over the rows and
+    iterates with l-bfgs beyond that."""
     return LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction",
                             solver=solver, maxIter=iterations, regParam=penalty, elasticNetParam=0.0,
                             standardization=True)
@@ -67,17 +70,19 @@ def shallow_boosted_trees(label: str = "label", rounds: int = 300, depth: int =
 
 
 def penalised_linear(train: DataFrame, alpha: float, l1_ratio: float, label: str = "label",
-                     iterations: int = 100, tolerance: float = 1e-6) -> LinearRegression:
+                     wide: bool = False, iterations: int = 100, tolerance: float = 1e-6) -> LinearRegression:
     """Elastic net with the penalty meant on the mean-squared objective
-    ``|y - Xw|^2 / 2n + alpha * (l1 * |w| + (1 - l1) / 2 * |w|^2)``.
+    ``|y - Xw|^2 / 2n + alpha * (l1 * |w| + (1 - l1) / 2 * |w|^2)``; ``l1_ratio = 1`` is the lasso.
 
-    Spark divides the L2 part by the label's deviation, so that factor is put back;
-    ``l1_ratio = 1`` is the lasso.
+    Spark divides the L2 part by the label's deviation, so that factor is put back (the
+    normal-equation solver means the population deviation, l-bfgs the sample one). Up to 4096
+    features one pass builds the normal equations; set ``wide`` beyond that.
     """
-    deviation = train.agg(F.stddev_samp(label)).first()[0] or 1.0
+    spread = F.stddev_samp(label) if wide else F.stddev_pop(label)
+    deviation = train.agg(spread).first()[0] or 1.0
     total = alpha * (l1_ratio + deviation * (1 - l1_ratio))
-    return LinearRegression(featuresCol="features", labelCol=label, solver="l-bfgs", maxIter=iterations,
-                            tol=tolerance, regParam=total,
+    return LinearRegression(featuresCol="features", labelCol=label, solver="l-bfgs" if wide else "normal",
+                            maxIter=iterations, tol=tolerance, regParam=total,
                             elasticNetParam=(alpha * l1_ratio / total) if total else 0.0,
                             standardization=False)
 
@@ -189,13 +194,12 @@ def cross_validated(models: dict[str, Estimator], df: DataFrame, label: str = "l
         for name, estimator in models.items():
             for i in range(folds):
                 model = estimator.fit(cached.filter(F.col(fold) != i))
-                held_out = df.filter(F.col(fold) == i)
-                scored.append(model.transform(held_out).select(
+                scored.append(model.transform(cached.filter(F.col(fold) == i)).select(
                     F.lit(name).alias("model"), F.col(fold), F.col(label), "prediction"))
+        stacked = reduce(DataFrame.unionByName, scored)
+        return settle(stacked if predictions else fold_scores(stacked, label, "prediction", ["model", fold]))
     finally:
         cached.unpersist()
-    stacked = reduce(DataFrame.unionByName, scored)
-    return stacked if predictions else fold_scores(stacked, label, "prediction", ["model", fold])
 
 
 def grid_search(estimator: Estimator, grid: dict, df: DataFrame, label: str = "label",
@@ -222,8 +226,12 @@ def grid_search(estimator: Estimator, grid: dict, df: DataFrame, label: str = "l
 def penalty_sweep(make, alphas: list[float], df: DataFrame, label: str = "label", fold: str = "fold",
                   folds: int = 5) -> DataFrame:
     """Mean cross-validated RMSE per penalty. ``make(alpha)`` builds the estimator."""
-    models = {repr(float(a)): make(a) for a in alphas}
-    scores = cross_validated(models, df, label, fold, folds)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = {repr(float(a)): make(a) for a in alphas}
+        scores = cross_validated(models, df, label, fold, folds)
+    finally:
+        cached.unpersist()
     return (scores.groupBy(F.col("model").cast("double").alias("alpha"))
             .agg(F.avg(F.sqrt("mse")).alias("rmse")))
 

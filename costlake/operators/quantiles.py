@@ -56,7 +56,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         position = (n - 1) * F.lit(float(p)) if interpolate else F.greatest(
             n - F.floor(n - n * F.lit(float(p))), F.lit(1)) - 1
         return F.struct(
-            F.lit(float(p)).alias("probability"),
+            F.lit(i).alias("which"),
             F.floor(position).cast("bigint").alias("first_rank"),
             F.ceil(position).cast("bigint").alias("second_rank"),
             (position - F.floor(position)).cast("double").alias("fraction"),
@@ -68,13 +68,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     else:
         probed = rows.withColumn("__b", brackets.select("__b").scalar())
 
-    # One row per (probability, value): everything below the bracket shares the NULL slot.
+    # One row per (quantile, value): everything below the bracket shares the NULL slot.
     slots = probed.select(*keys, "__v", F.explode("__b").alias("b")).filter(F.col("__v") <= F.col("b.high"))
-    group = keys + ["probability"]
-    counted = (slots.select(*keys, "b.probability", "b.first_rank", "b.second_rank", "b.fraction",
+    group = [*keys, "which"]
+    counted = (slots.select(*keys, "b.which", "b.first_rank", "b.second_rank", "b.fraction",
                             F.when(F.col("__v") >= F.col("b.low"), F.col("__v")).alias("slot"))
-               .groupBy(*group, "first_rank", "second_rank", "fraction", "slot")
-               .agg(F.count(F.lit(1)).alias("n")))
+               .groupBy(*group, "slot")
+               .agg(F.count(F.lit(1)).alias("n"), F.max("first_rank").alias("first_rank"),
+                    F.max("second_rank").alias("second_rank"), F.max("fraction").alias("fraction")))
     ordered = (Window.partitionBy(*group).orderBy(F.col("slot").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     reached = counted.withColumn("upto", F.sum("n").over(ordered))
@@ -82,8 +83,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         F.min(F.when(F.col("upto") > F.col("first_rank"), F.col("slot"))).alias("first"),
         F.min(F.when(F.col("upto") > F.col("second_rank"), F.col("slot"))).alias("second"),
         F.max("fraction").alias("fraction"))
-    return ends.select(*group, (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction"))
-                       .alias("quantile"))
+    labels = F.array(*[F.lit(float(p)) for p in probs])
+    return ends.select(*keys, labels[F.col("which")].alias("probability"),
+                       (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")).alias("quantile"))
 
 
 def quantiles_row(df: DataFrame, value: str, probs: list[float], exact: bool = False,

@@ -91,7 +91,7 @@ def compare_structured(ready: DataFrame, policy: Policy = Policy(), table: CostT
                .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         fitted, scored = models.compare(
-            estimators or {"linear_regression": models.ridge_log_cost(iterations=60, solver="auto"),
+            estimators or {"linear_regression": models.ridge_log_cost(iterations=60),
                            "random_forest": models.random_forest(),
                            "gradient_boosted_trees": models.boosted_trees()},
             vectors.filter(F.col("split") == "train"), vectors.filter(F.col("split") != "train"),
