@@ -1,20 +1,28 @@
 """Quantiles that hold at any size.
 
-``sketch_quantiles`` is one pass with a bounded sketch. ``exact_quantiles`` adds a second
-pass: the sketch brackets each quantile, and only values inside the bracket are sorted, so
-no task ever holds the whole distribution.
+``sketch_quantiles`` is one pass with a bounded sketch per map task, merged in one task per
+group. ``exact_quantiles`` counts buckets instead of sorting: no task ever holds a whole
+distribution, whichever group has most of the rows.
 """
 
 from __future__ import annotations
 
+import sys
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.operators.joins import lookup_join
+from costlake.session import settle
 
 # Rank error of the sketch is 1 / accuracy.
 DEFAULT_ACCURACY = 10_000
 
+# Buckets an interval is cut into, and the rows it may hold before its values are sorted.
+BUCKETS = 1024
+SORT_ROWS = 1_000_000
+
 
 def quantile_label(p: float) -> str:
     return f"p{int(round(p * 100)):02d}"
@@ -33,59 +41,82 @@ def sketch_quantiles(df: DataFrame, value: str, probs: list[float],
     return sketched.select(F.inline(entries))
 
 
+def _intervals(rows: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows repeated once per distinct search interval of their key that holds their value."""
+    spans = targets.groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("__spans"))
+    if keys:
+        probed = lookup_join(rows, spans, keys, how="inner", null_safe=True)
+    else:
+        probed = rows.withColumn("__spans", spans.scalar())
+    holding = F.filter("__spans", lambda s: (F.col("v") >= s["lo"]) & (F.col("v") <= s["hi"]))
+    return probed.select(*keys, "v", F.inline(holding))
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """Move every target to the bucket of its interval that holds its rank.
+
+    Buckets are counted where the rows are, so only bucket totals are shuffled; the running
+    total then runs over the buckets of one interval.
+    """
+    span = [*keys, "lo", "hi"]
+    counted = (_intervals(rows, targets, keys).groupBy(*span, bucket.alias("bucket"))
+               .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last")))
+    running = (Window.partitionBy(*span).orderBy("bucket")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = counted.withColumn("before", F.sum("n").over(running) - F.col("n")).alias("found")
+    wanted = targets.alias("wanted")
+    same = [F.col(f"wanted.{c}").eqNullSafe(F.col(f"found.{c}")) for c in span]
+    inside = ((F.col("wanted.rank") >= F.col("found.before"))
+              & (F.col("wanted.rank") < F.col("found.before") + F.col("found.n")))
+    return wanted.join(found, reduce(lambda a, b: a & b, same) & inside).select(
+        *[F.col(f"wanted.{k}").alias(k) for k in keys], "wanted.which", "wanted.part", "wanted.fraction",
+        (F.col("wanted.rank") - F.col("found.before")).alias("rank"),
+        F.col("found.first").alias("lo"), F.col("found.last").alias("hi"), F.col("found.n").alias("n"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
-                    interpolate: bool = False, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    interpolate: bool = False, sort_rows: int = SORT_ROWS) -> DataFrame:
     """Rows ``keys..., probability, quantile`` with exact quantiles of the non-NULL values.
 
     ``interpolate`` gives the linearly interpolated quantile (the pandas default); otherwise
     the smallest value whose cumulative share reaches the probability.
+
+    Each wanted rank starts with the whole value range of its key. While its interval holds
+    more than ``sort_rows`` rows, the interval is cut into equal buckets, the buckets are
+    counted, and the one with the rank is kept. Then the few values left are counted one by
+    one. The steps run when this is called; each reads only the keys and the value.
     """
     keys = list(keys or [])
-    rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    slack = 4.0 / accuracy
-    lows = [max(p - slack, 0.0) for p in probs]
-    highs = [min(p + slack, 1.0) for p in probs]
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", lows, accuracy).alias("__lows"),
-        F.percentile_approx("__v", highs, accuracy).alias("__highs"))
-
-    n = F.col("__n")
-
-    def bracket(i: int, p: float) -> Column:
-        position = (n - 1) * F.lit(float(p)) if interpolate else F.greatest(
-            n - F.floor(n - n * F.lit(float(p))), F.lit(1)) - 1
-        return F.struct(
-            F.lit(i).alias("which"),
-            F.floor(position).cast("bigint").alias("first_rank"),
-            F.ceil(position).cast("bigint").alias("second_rank"),
-            (position - F.floor(position)).cast("double").alias("fraction"),
-            F.col("__lows")[i].alias("low"), F.col("__highs")[i].alias("high"))
-
-    brackets = sketch.select(*keys, F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("__b"))
-    if keys:
-        probed = lookup_join(rows, brackets, keys, how="inner", null_safe=True)
-    else:
-        probed = rows.withColumn("__b", brackets.select("__b").scalar())
-
-    # One row per (quantile, value): everything below the bracket shares the NULL slot.
-    slots = probed.select(*keys, "__v", F.explode("__b").alias("b")).filter(F.col("__v") <= F.col("b.high"))
-    group = [*keys, "which"]
-    counted = (slots.select(*keys, "b.which", "b.first_rank", "b.second_rank", "b.fraction",
-                            F.when(F.col("__v") >= F.col("b.low"), F.col("__v")).alias("slot"))
-               .groupBy(*group, "slot")
-               .agg(F.count(F.lit(1)).alias("n"), F.max("first_rank").alias("first_rank"),
-                    F.max("second_rank").alias("second_rank"), F.max("fraction").alias("fraction")))
-    ordered = (Window.partitionBy(*group).orderBy(F.col("slot").asc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    reached = counted.withColumn("upto", F.sum("n").over(ordered))
-    ends = reached.groupBy(*group).agg(
-        F.min(F.when(F.col("upto") > F.col("first_rank"), F.col("slot"))).alias("first"),
-        F.min(F.when(F.col("upto") > F.col("second_rank"), F.col("slot"))).alias("second"),
-        F.max("fraction").alias("fraction"))
+    v = F.col(value).cast("double")
+    largest = F.lit(sys.float_info.max)
+    rows = df.filter(v.isNotNull() & ~F.isnan(v)).select(
+        *keys, F.greatest(-largest, F.least(largest, v)).alias("v"))
+    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+
+    n = F.col("n")
+
+    def position(p: float) -> Column:
+        if interpolate:
+            return (n - 1) * F.lit(float(p))
+        return F.greatest(n - F.floor(n - n * F.lit(float(p))), F.lit(1)) - 1
+
+    ends = [F.struct(F.lit(i).alias("which"), F.lit(part).alias("part"),
+                     (position(p) - F.floor(position(p))).cast("double").alias("fraction"),
+                     end(position(p)).cast("bigint").alias("rank"))
+            for i, p in enumerate(probs) for part, end in enumerate((F.floor, F.ceil))]
+    targets = stats.filter(n > 0).select(*keys, "lo", "hi", "n", F.inline(F.array(*ends)))
+    targets = settle(targets)
+    bucket = F.least(F.lit(BUCKETS - 1), F.floor(
+        F.try_divide(F.col("v") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS))
+    while (targets.filter("lo < hi").agg(F.max("n")).first()[0] or 0) > sort_rows:
+        targets = settle(_narrowed(rows, targets, keys, F.coalesce(bucket, F.lit(0))))
+    values = _narrowed(rows, targets, keys, F.col("v"))
+    pairs = values.groupBy(*keys, "which").agg(
+        F.max(F.when(F.col("part") == 0, F.col("lo"))).alias("first"),
+        F.max(F.when(F.col("part") == 1, F.col("lo"))).alias("second"), F.max("fraction").alias("fraction"))
     labels = F.array(*[F.lit(float(p)) for p in probs])
-    return ends.select(*keys, labels[F.col("which")].alias("probability"),
-                       (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")).alias("quantile"))
+    return pairs.select(*keys, labels[F.col("which")].alias("probability"),
+                        (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")).alias("quantile"))
 
 
 def quantiles_row(df: DataFrame, value: str, probs: list[float], exact: bool = False,
@@ -96,7 +127,7 @@ def quantiles_row(df: DataFrame, value: str, probs: list[float], exact: bool = F
     if not exact:
         picked = df.agg(F.percentile_approx(value, list(probs), accuracy).alias("q"))
         return picked.select(*[F.col("q")[i].alias(name) for i, name in enumerate(names)])
-    long = exact_quantiles(df, value, probs, interpolate=interpolate, accuracy=accuracy)
+    long = exact_quantiles(df, value, probs, interpolate=interpolate)
     return long.agg(*[F.max(F.when(F.col("probability") == float(p), F.col("quantile"))).alias(name)
                       for p, name in zip(probs, names)])
 

@@ -54,7 +54,7 @@ def feature_rows(cleaned: DataFrame, table: CostTable = PERMITS, low: float = 0.
     ``collapse_null_keys`` keeps a single row for all rows without a key.
     """
     trimmed = trim_to_quantiles(with_targets(cleaned, table), "target_cost", low, high,
-                                exact=exact_bounds, accuracy=1000 if not exact_bounds else 10_000)
+                                exact=exact_bounds, accuracy=1000)
     derived = {"target_cost_log10": F.log10("target_cost")}
     derived.update({out: fx.zero_filled_difference(F.col(a), F.col(b))
                     for out, (a, b) in table.differences.items()
