@@ -64,17 +64,23 @@ def conic_constants(grid: ConicGrid) -> dict[str, float]:
     return {"e": e, "n": n, "scale": scale, "rho0": scale * t(p0) ** n}
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def project_point(lon: Column, lat: Column, grid: ConicGrid = CALIFORNIA_ZONE_3_FEET) -> Column:
     """Planar ``struct<x, y>`` of a longitude / latitude pair in degrees."""
     k = conic_constants(grid)
     phi = F.radians(lat)
     es = F.lit(k["e"]) * F.sin(phi)
     t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - es) / (1 + es), F.lit(k["e"] / 2))
-    rho = F.lit(k["scale"]) * F.pow(t, F.lit(k["n"]))
-    theta = F.lit(k["n"]) * F.radians(lon - F.lit(grid.origin_lon))
-    x = (rho * F.sin(theta) + F.lit(grid.false_east_m)) / F.lit(grid.metres_per_unit)
-    y = (F.lit(k["rho0"]) - rho * F.cos(theta) + F.lit(grid.false_north_m)) / F.lit(grid.metres_per_unit)
-    return F.struct(x.alias("x"), y.alias("y"))
+    polar = F.struct((F.lit(k["scale"]) * F.pow(t, F.lit(k["n"]))).alias("rho"),
+                     (F.lit(k["n"]) * F.radians(lon - F.lit(grid.origin_lon))).alias("theta"))
+    unit = F.lit(grid.metres_per_unit)
+    return _let(polar, lambda p: F.struct(
+        ((p["rho"] * F.sin(p["theta"]) + F.lit(grid.false_east_m)) / unit).alias("x"),
+        ((F.lit(k["rho0"]) - p["rho"] * F.cos(p["theta"]) + F.lit(grid.false_north_m)) / unit).alias("y")))
 
 
 def project_ring(ring: Column, grid: ConicGrid = CALIFORNIA_ZONE_3_FEET) -> Column:
@@ -90,14 +96,16 @@ def ring_edges(ring: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Unsigned area by the shoelace sum, relative to the first vertex for precision."""
-    ox, oy = ring[0]["x"], ring[0]["y"]
 
-    def cross(total, edge):
-        ax, ay = edge["a"]["x"] - ox, edge["a"]["y"] - oy
-        bx, by = edge["b"]["x"] - ox, edge["b"]["y"] - oy
-        return total + (ax * by - bx * ay)
+    def shoelace(r: Column) -> Column:
+        def cross(total, edge):
+            ax, ay = edge["a"]["x"] - r[0]["x"], edge["a"]["y"] - r[0]["y"]
+            bx, by = edge["b"]["x"] - r[0]["x"], edge["b"]["y"] - r[0]["y"]
+            return total + (ax * by - bx * ay)
+
+        return F.abs(F.aggregate(ring_edges(r), F.lit(0.0), cross)) / 2
 
-    return F.abs(F.aggregate(ring_edges(ring), F.lit(0.0), cross)) / 2
+    return _let(ring, shoelace)
 
 
 def footprint_area_m2(ring: Column, grid: ConicGrid = CALIFORNIA_ZONE_3_FEET) -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from costlake.operators.joins import lookup_join
 from costlake.session import settle
@@ -52,6 +53,16 @@ def _intervals(rows: DataFrame, targets: DataFrame, keys: list[str]) -> DataFram
     return probed.select(*keys, "v", F.inline(holding))
 
 
+def _pinned(targets: DataFrame, keys: list[str]) -> DataFrame:
+    """The target table, computed. Without keys it is two rows per probability: literals do."""
+    if keys:
+        return settle(targets)
+    types = {f.name: f.dataType for f in targets.schema}
+    found = [F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in types]) for row in targets.collect()]
+    literal = F.array(*found) if found else F.array().cast(ArrayType(targets.schema))
+    return targets.sparkSession.range(0, 1, 1, 1).select(F.inline(literal))
+
+
 def _narrowed(rows: DataFrame, targets: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
     """Move every target to the bucket of its interval that holds its rank.
 
@@ -105,11 +116,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
                      end(position(p)).cast("bigint").alias("rank"))
             for i, p in enumerate(probs) for part, end in enumerate((F.floor, F.ceil))]
     targets = stats.filter(n > 0).select(*keys, "lo", "hi", "n", F.inline(F.array(*ends)))
-    targets = settle(targets)
+    targets = _pinned(targets, keys)
     bucket = F.least(F.lit(BUCKETS - 1), F.floor(
         F.try_divide(F.col("v") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS))
     while (targets.filter("lo < hi").agg(F.max("n")).first()[0] or 0) > sort_rows:
-        targets = settle(_narrowed(rows, targets, keys, F.coalesce(bucket, F.lit(0))))
+        targets = _pinned(_narrowed(rows, targets, keys, F.coalesce(bucket, F.lit(0))), keys)
     values = _narrowed(rows, targets, keys, F.col("v"))
     pairs = values.groupBy(*keys, "which").agg(
         F.max(F.when(F.col("part") == 0, F.col("lo"))).alias("first"),
