@@ -222,7 +222,8 @@ def _(spark, sf):
  ORDER BY shipped DESC NULLS LAST, line DESC, part DESC, supplier DESC, price DESC) AS n FROM versions)
  SELECT version_key, shipped, line, part, supplier, price FROM r WHERE n = 1 OR version_key IS NULL""")
 def _(spark, sf):
-    return dedupe.latest_version(fx.versions(spark, sf), "version_key", ["shipped", "line", "part", "supplier"])
+    return dedupe.latest_version(fx.versions(spark, sf), "version_key",
+                                 ["shipped", "line", "part", "supplier", "price"])
 
 
 @check("win_02_share_of_total", f"""WITH {fx.TARGETS}, c AS (SELECT split, zone, count(*) AS rows FROM targets GROUP BY split, zone)
@@ -266,7 +267,7 @@ def _(spark, sf):
  ORDER BY shipped DESC, part DESC, supplier DESC, price DESC) AS n FROM versions)
  SELECT version_key, shipped, line, part, supplier, price FROM r WHERE n = 1 OR version_key IS NULL""")
 def _(spark, sf):
-    return dedupe.drop_duplicates(fx.versions(spark, sf), ["version_key", "line"], ["shipped", "part", "supplier"])
+    return dedupe.drop_duplicates(fx.versions(spark, sf), ["version_key", "line"], ["shipped", "part", "supplier", "price"])
 
 
 # -------------------------------------------------------------------- splits

@@ -57,15 +57,32 @@ def null_if_token(col: Column, tokens=NULL_TOKENS) -> Column:
     return F.when((text != "") & ~F.lower(text).isin(*tokens), text)
 
 
+# What a date layout's letters can look like. Wider than the parser is strict.
+_LETTER_SHAPES = {"yyyy": r"[+-]?\d{4,}", "MM": r"\d{1,2}", "dd": r"\d{1,2}", "HH": r"\d{1,2}",
+                  "hh": r"\d{1,2}", "mm": r"\d{1,2}", "ss": r"\d{1,2}", "a": r"\D+"}
+
+
+def _layout_shape(layout: str) -> str:
+    """A pattern every text of this date layout matches."""
+    pieces = re.findall(r"[A-Za-z]+|[^A-Za-z]+", layout)
+    return "^" + "".join(_LETTER_SHAPES.get(p, re.escape(p)) for p in pieces) + "$"
+
+
+def _if_shaped(col: Column, layout: str, parse) -> Column:
+    """Parse only text of the right shape: a failed parse costs far more than the look."""
+    return F.when(col.rlike(_layout_shape(layout)), parse(col, layout))
+
+
 def parse_date(col: Column, formats=DATE_FORMATS, prefix_formats=DATE_PREFIX_FORMATS) -> Column:
+    """The date of the first layout that fits the text, else its first ten characters."""
     prefix = F.substring(col, 1, 10)
-    attempts = [F.try_to_date(col, f) for f in formats]
-    attempts += [F.try_to_date(prefix, f) for f in prefix_formats]
+    attempts = [_if_shaped(col, f, F.try_to_date) for f in formats]
+    attempts += [_if_shaped(prefix, f, F.try_to_date) for f in prefix_formats]
     return F.coalesce(*attempts)
 
 
 def parse_timestamp(col: Column, formats=DATE_FORMATS) -> Column:
-    attempts = [F.try_to_timestamp(col, F.lit(f)) for f in formats]
+    attempts = [_if_shaped(col, f, lambda c, layout: F.try_to_timestamp(c, F.lit(layout))) for f in formats]
     return F.coalesce(F.try_to_timestamp(col), *attempts)
 
 

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 
 def _full_order(df: DataFrame, newest: list[str]) -> list[Column]:
-    """Named columns first, then every other orderable column, so no tie is left to chance."""
-    rest = [f.name for f in df.schema.fields
-            if f.name not in newest and f.dataType.typeName() not in ("map", "variant")]
-    return [F.col(c).desc_nulls_last() for c in [*newest, *rest]]
+    """Named columns first; rows equal in all of them are ordered by a hash of the whole row.
+
+    The hash is the same on every run and under every partitioning, and costs far less to
+    sort by than the columns themselves.
+    """
+    hashed = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [*[F.col(c).desc_nulls_last() for c in newest], F.xxhash64(*hashed).desc()]
 
 
 def latest_version(df: DataFrame, key: str, newest: list[str]) -> DataFrame:
