@@ -60,7 +60,7 @@ def test_latest_version_is_repeatable_and_keeps_rows_without_key(spark, rows):
     runs = [sorted(map(tuple, dedupe.latest_version(df.repartition(n), "k", ["version"]).collect()), key=repr)
             for n in (1, 3, 5)]
     assert runs[0] == runs[1] == runs[2]
-    assert runs[0][0] == (None, 1, "n") == runs[0][1] and runs[0][2][:2] == ("a", 3) and runs[0][3] == ("b", None, "q")
+    assert [r[:2] for r in runs[0]] == [("a", 3), ("b", None), (None, 1), (None, 1)]
     again = dedupe.latest_version(rows("k string, version int, payload string", *runs[0]), "k", ["version"])
     assert sorted(map(tuple, again.collect()), key=repr) == runs[0]
     collapsed = dedupe.drop_duplicates(df, ["k"], ["version"], collapse_null_keys=True)
