@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from costlake.functions import geometry as g
 from costlake.operators.cleaning import QualityPlan, TypePlan
 from costlake.operators.metrics import regression_metrics
+from costlake.operators.quantiles import quantiles_row
 from costlake.plans.permits import CostTable
 
 TRAIN, VALIDATION, TEST_FROM = (1995, 1999), 2000, 2001
@@ -241,6 +242,28 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
         F.array(g.box_ring(x0, y0, x0 + side, y0 + side)).alias("rings"))
 
 
+# A town of square footprints, one per order, 400 to a row; events are the points. The squares
+# cover 64 percent of their lot, so many points match none.
+SITE_COLUMNS = _columns("""
+site_id = event_id
+x = (user_id * 7 + event_id) % 4000 / 1E1 + 0.05E0
+y = (user_id * 11 + event_id * 3) % 500 / 1E1 + 0.05E0
+""")
+FOOTPRINTS = f"""sites AS (SELECT {_sql_select(SITE_COLUMNS)} FROM events),
+footprints AS (SELECT o_orderkey AS polygon_id, o_orderkey % 400 AS x0, o_orderkey // 400 AS y0 FROM orders)"""
+
+
+def sites(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").selectExpr(*_spark_select(SITE_COLUMNS))
+
+
+def footprints(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    x0, y0 = k % 400, F.floor(k / 400)
+    return table(spark, sf, "orders").select(
+        k.alias("polygon_id"), F.array(g.box_ring(x0, y0, x0 + 0.8, y0 + 0.8)).alias("rings"))
+
+
 # -------------------------------------------------- predictions, metrics, terms
 
 # three predictors of the log target, all learnt on the training years
@@ -264,7 +287,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
         F.log10("target_cost").alias("log_y"), (F.col("record_id") % 4).alias("fold"))
     train = rows.filter(F.col("split") == "train")
     keep = ["record_id", "split", "fold", "y", "log_y", "log_p"]
-    median = train.agg(F.percentile_approx("y", 0.5, 1_000_000)).scalar()
+    median = quantiles_row(train, "y", [0.5], exact=True).scalar()
     parts = [rows.withColumn("log_p", F.log10(median)).select(F.lit("median_baseline").alias("model"), *keep)]
     for name, keys in (("structured", ["zone"]), ("structured_text", ["zone", "category"])):
         means = train.groupBy(*keys).agg(F.round(F.avg("log_y"), 6).alias("log_p"))

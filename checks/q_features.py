@@ -10,8 +10,6 @@ from costlake.functions import cleaning as fc
 from costlake.functions import features as ff
 from costlake.operators import cleaning, dedupe, features, profile, quantiles, ranking, splits
 
-EXACT = 1_000_000
-
 
 @check("ftr_01_choose_target", f"WITH {fx.TARGETS} SELECT record_id, target_cost, target_source FROM targets")
 def _(spark, sf):

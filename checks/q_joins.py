@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import check
+from costlake.functions import geometry as g
 from costlake.operators import joins, metrics, spatial
 
 # Yearly mean order price plays the price index; years are the rows, so it is small by nature.
@@ -78,6 +79,15 @@ def _(spark, sf):
                                   max_vertices=0).select("point_id", "polygon_id")
 
 
+@check("jon_04_match_footprints", f"""WITH {fx.FOOTPRINTS} SELECT site_id, polygon_id,
+ CASE WHEN polygon_id IS NOT NULL THEN 0.64E0 END AS area FROM sites LEFT JOIN footprints
+ ON x0 = CAST(floor(x) AS BIGINT) AND y0 = CAST(floor(y) AS BIGINT) AND x < x0 + 0.8 AND y < y0 + 0.8""")
+def _(spark, sf):
+    shapes = fx.footprints(spark, sf).withColumn("area", F.round(g.polygon_area(F.col("rings")), 9))
+    found = spatial.match_polygons(fx.sites(spark, sf), shapes, "site_id", cell_size=1.0, carry=["area"])
+    return found.select("site_id", "polygon_id", "area")
+
+
 @check("jon_05_near_point", f"""WITH {fx.POINTS} SELECT point_id FROM points
  WHERE abs(x - 4.0) < 1.2 AND abs(y - 5.0) < 1.0""")
 def _(spark, sf):

@@ -87,7 +87,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = fx.split_jobs(spark, sf)
     out = models.median_baseline(rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train"),
-                                 "target_cost", 1_000_000)
+                                 "target_cost", exact=True)
     return out.select("record_id", "prediction_cost", F.round("prediction", 6).alias("prediction"))
 
 

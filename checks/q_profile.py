@@ -11,8 +11,6 @@ from costlake.operators import metrics, profile, quantiles, ranking, splits
 from costlake.plans.reports import PROBABILITIES, THRESHOLDS
 from costlake.sources import tables
 
-EXACT = 1_000_000
-
 
 def _rounded(df, places, *columns):
     return df.withColumns({c: F.round(c, places) for c in columns})
@@ -48,7 +46,7 @@ def _(spark, sf):
 @check("agg_05_center", """SELECT min(l_extendedprice) AS min, round(avg(l_extendedprice), 4) AS mean,
  quantile_disc(l_extendedprice, 0.5) AS median, max(l_extendedprice) AS max FROM lineitem""")
 def _(spark, sf):
-    return _rounded(profile.center(fx.table(spark, sf, "lineitem"), "l_extendedprice", EXACT), 4, "mean")
+    return _rounded(profile.center(fx.table(spark, sf, "lineitem"), "l_extendedprice", exact=True), 4, "mean")
 
 
 _PROFILE = " UNION ALL ".join(
@@ -56,17 +54,26 @@ _PROFILE = " UNION ALL ".join(
     for p in PROBABILITIES)
 
 
-@check("agg_06_quantile_profile", _PROFILE)
+@check("agg_06_sketch_within_rank_error", " UNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS probability, true AS within_error" for p in PROBABILITIES))
 def _(spark, sf):
-    return quantiles.sketch_quantiles(fx.table(spark, sf, "lineitem"), "l_extendedprice", list(PROBABILITIES), EXACT)
+    rows = fx.table(spark, sf, "lineitem")
+    error = 0.001
+    bounds = [round(p + d, 6) for p in PROBABILITIES for d in (-error, error)]
+    exact = quantiles.exact_quantiles(rows, "l_extendedprice", bounds)
+    nearest = F.round("probability", 2).alias("probability")
+    limits = exact.groupBy(nearest).agg(F.min("quantile").alias("low"), F.max("quantile").alias("high"))
+    sketch = quantiles.sketch_quantiles(rows, "l_extendedprice", list(PROBABILITIES), accuracy=1000)
+    return sketch.join(limits, "probability").select(
+        "probability", F.col("quantile").between(F.col("low"), F.col("high")).alias("within_error"))
 
 
-@check("agg_06_exact_quantiles", _PROFILE)
+@check("agg_06_quantile_profile", _PROFILE)
 def _(spark, sf):
     return quantiles.exact_quantiles(fx.table(spark, sf, "lineitem"), "l_extendedprice", list(PROBABILITIES))
 
 
-@check("agg_06_exact_quantiles_by_key", " UNION ALL ".join(
+@check("agg_06_quantile_profile_by_key", " UNION ALL ".join(
     f"""SELECT returnflag AS flag, CAST({p} AS DOUBLE) AS probability, round(quantile_cont(l_extendedprice, {p}), 6) AS quantile
  FROM (SELECT l_returnflag AS returnflag, l_extendedprice FROM lineitem) GROUP BY 1""" for p in (0.25, 0.5, 0.9)))
 def _(spark, sf):
@@ -91,19 +98,19 @@ def _profile_sql(keys, where=""):
 
 @check("agg_08_group_profile", _profile_sql(["permit_creation_year"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost", EXACT),
+    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost"),
                     4, "mean_cost")
 
 
 @check("agg_08_group_profile_known_keys", _profile_sql(["adu"], "WHERE adu IS NOT NULL"))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["adu"], "target_cost", EXACT,
+    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["adu"], "target_cost",
                                           keep_null_keys=False), 4, "mean_cost")
 
 
 @check("agg_09_group_profile_two_keys", _profile_sql(["zone", "category"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["zone", "category"], "target_cost", EXACT),
+    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["zone", "category"], "target_cost"),
                     4, "mean_cost")
 
 
@@ -140,12 +147,12 @@ def _(spark, sf):
  quantile_disc(target_cost, 0.5) AS p50, quantile_disc(target_cost, 0.75) AS p75,
  quantile_disc(target_cost, 0.9) AS p90, quantile_disc(target_cost, 0.95) AS p95 FROM targets GROUP BY split""")
 def _(spark, sf):
-    return _rounded(profile.drift(fx.split_jobs(spark, sf), "target_cost", accuracy=EXACT), 4, "mean")
+    return _rounded(profile.drift(fx.split_jobs(spark, sf), "target_cost", exact=True), 4, "mean")
 
 
 @check("agg_15_source_by_split", _profile_sql(["split", "target_source"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.split_jobs(spark, sf), ["split", "target_source"], "target_cost", EXACT),
+    return _rounded(profile.group_profile(fx.split_jobs(spark, sf), ["split", "target_source"], "target_cost"),
                     4, "mean_cost")
 
 
@@ -263,14 +270,14 @@ def _(spark, sf):
 
 @check("top_01_largest_groups", f"""{_profile_sql(["zone", "segment"])} ORDER BY projects DESC, zone, segment LIMIT 20""")
 def _(spark, sf):
-    groups = profile.group_profile(fx.target_jobs(spark, sf), ["zone", "segment"], "target_cost", EXACT)
+    groups = profile.group_profile(fx.target_jobs(spark, sf), ["zone", "segment"], "target_cost")
     return _rounded(ranking.top_rows(groups, "projects", 20, ["zone", "segment"]), 4, "mean_cost")
 
 
 @check("top_02_sorted_by_key", _profile_sql(["permit_creation_year", "permit_creation_month"]))
 def _(spark, sf):
     keys = ["permit_creation_year", "permit_creation_month"]
-    groups = profile.group_profile(fx.target_jobs(spark, sf), keys, "target_cost", EXACT)
+    groups = profile.group_profile(fx.target_jobs(spark, sf), keys, "target_cost")
     return _rounded(groups, 4, "mean_cost").orderBy(*keys)
 
 
@@ -304,5 +311,5 @@ def _(spark, sf):
 
 @check("top_07_since_year", _profile_sql(["permit_creation_year"], "WHERE permit_creation_year >= 1998"))
 def _(spark, sf):
-    trend = profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost", EXACT)
+    trend = profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost")
     return _rounded(profile.since(trend, "permit_creation_year", 1998), 4, "mean_cost")

@@ -13,8 +13,6 @@ from costlake.session import scratch_path
 from costlake.sources import geo, reports, tables
 from costlake.sources.models import load_model, save_model
 
-EXACT = 1_000_000  # sketch accuracy: no rank error on fewer rows than this
-
 
 @check("src_01_read_csv_raw", f"""WITH {fx.JOBS} SELECT CAST(record_id AS VARCHAR) AS record_id,
  CASE WHEN record_id % 13 = 0 THEN 'unknown'
@@ -77,7 +75,7 @@ _BY_ZONE = """SELECT zone, count(*) AS projects, round(avg(target_cost), 4) AS m
 
 
 def _zone_profile(spark, sf):
-    found = profile.group_profile(fx.target_jobs(spark, sf), ["zone"], "target_cost", EXACT)
+    found = profile.group_profile(fx.target_jobs(spark, sf), ["zone"], "target_cost")
     return found.withColumn("mean_cost", F.round("mean_cost", 4))
 
 

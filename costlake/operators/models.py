@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from costlake.functions.features import amount_from_log10
 from costlake.operators.metrics import fold_scores
-from costlake.operators.quantiles import DEFAULT_ACCURACY
+from costlake.operators.quantiles import DEFAULT_ACCURACY, quantiles_row
 from costlake.session import settle
 
 # ---------------------------------------------------------------- estimators
@@ -141,9 +141,9 @@ def fit_quadratic_ridge(train: DataFrame, features: str, size: int, label: str =
 
 
 def median_baseline(train: DataFrame, rows: DataFrame, target: str,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     """``prediction_cost`` is the training median and ``prediction`` its log10."""
-    median = train.agg(F.percentile_approx(target, 0.5, accuracy)).scalar()
+    median = quantiles_row(train, target, [0.5], exact, accuracy=accuracy).scalar()
     return rows.withColumns({"prediction_cost": median, "prediction": F.log10(median)})
 
 

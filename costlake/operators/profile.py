@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.features import has_text
-from costlake.operators.quantiles import DEFAULT_ACCURACY, quantile_label, trim_to_quantiles
+from costlake.operators.quantiles import (DEFAULT_ACCURACY, exact_quantiles_wide, quantile_label,
+                                          quantiles_row, trim_to_quantiles)
 from costlake.operators.ranking import top_k_per_group
 
 
@@ -31,9 +32,15 @@ def distribution(df: DataFrame, value: str) -> DataFrame:
                   F.stddev_samp(value).alias("stddev"), F.max(value).alias("max"))
 
 
-def center(df: DataFrame, value: str, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return df.agg(F.min(value).alias("min"), F.avg(value).alias("mean"),
-                  F.percentile_approx(value, 0.5, accuracy).alias("median"), F.max(value).alias("max"))
+def center(df: DataFrame, value: str, accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
+    if exact:
+        median = quantiles_row(df, value, [0.5], exact=True).scalar()
+    else:
+        median = F.percentile_approx(value, 0.5, accuracy)
+    stats = [F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max")]
+    if exact:
+        return df.agg(*stats).withColumn("median", median)
+    return df.agg(*stats, median.alias("median"))
 
 
 def long_rows(one_row: DataFrame, groups: dict[str, dict[str, Column]], label: str) -> DataFrame:
@@ -95,12 +102,15 @@ def columns_with_values(df: DataFrame, columns: list[str]) -> list[str]:
 
 
 def drift(df: DataFrame, value: str, split: str = "split", probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
-          accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+          accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     """Rows, mean and quantiles of a value per split."""
-    summary = df.groupBy(split).agg(_rows().alias("rows"), F.avg(value).alias("mean"),
-                                    F.percentile_approx(value, list(probs), accuracy).alias("q"))
-    labels = [F.col("q")[i].alias(quantile_label(p)) for i, p in enumerate(probs)]
-    return summary.select(split, "rows", "mean", *labels)
+    labels = [quantile_label(p) for p in probs]
+    stats = [_rows().alias("rows"), F.avg(value).alias("mean")]
+    if exact:
+        wide = exact_quantiles_wide(df, value, list(probs), labels, [split])
+        return df.groupBy(split).agg(*stats).join(wide, [split])
+    summary = df.groupBy(split).agg(*stats, F.percentile_approx(value, list(probs), accuracy).alias("q"))
+    return summary.select(split, "rows", "mean", *[F.col("q")[i].alias(n) for i, n in enumerate(labels)])
 
 
 def share_of_total(counts: DataFrame, count: str, group: list[str], out: str = "share_percent") -> DataFrame:

@@ -130,6 +130,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
                         (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")).alias("quantile"))
 
 
+def exact_quantiles_wide(df: DataFrame, value: str, probs: list[float], names: list[str],
+                         keys: list[str] | None = None, interpolate: bool = False) -> DataFrame:
+    """One row per key, one column per exact quantile."""
+    long = exact_quantiles(df, value, probs, keys, interpolate)
+    return long.groupBy(*(keys or [])).agg(
+        *[F.max(F.when(F.col("probability") == float(p), F.col("quantile"))).alias(name)
+          for p, name in zip(probs, names)])
+
+
 def quantiles_row(df: DataFrame, value: str, probs: list[float], exact: bool = False,
                   interpolate: bool = False, accuracy: int = DEFAULT_ACCURACY,
                   names: list[str] | None = None) -> DataFrame:
@@ -138,9 +147,7 @@ def quantiles_row(df: DataFrame, value: str, probs: list[float], exact: bool = F
     if not exact:
         picked = df.agg(F.percentile_approx(value, list(probs), accuracy).alias("q"))
         return picked.select(*[F.col("q")[i].alias(name) for i, name in enumerate(names)])
-    long = exact_quantiles(df, value, probs, interpolate=interpolate)
-    return long.agg(*[F.max(F.when(F.col("probability") == float(p), F.col("quantile"))).alias(name)
-                      for p, name in zip(probs, names)])
+    return exact_quantiles_wide(df, value, probs, names, interpolate=interpolate)
 
 
 def quantile_range(df: DataFrame, value: str, low: float, high: float, exact: bool = False,

@@ -67,9 +67,10 @@ def match_polygons(points: DataFrame, polygons: DataFrame, point_id: str, x: str
         cells = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         keys.append("__salt")
     inside = g.polygon_contains(F.col(rings), F.col("__x"), F.col("__y"))
-    first = F.min(F.struct(polygon_id, *carry)).alias("__hit")
-    hits = probe.join(cells, keys).filter(inside).groupBy(point_id).agg(first)
-    matched = points.join(hits, [point_id], "left")
+    hits = probe.join(cells, keys).filter(inside).groupBy(point_id)
+    if not carry:
+        return points.join(hits.agg(F.min(polygon_id).alias(polygon_id)), [point_id], "left")
+    matched = points.join(hits.agg(F.min(F.struct(polygon_id, *carry)).alias("__hit")), [point_id], "left")
     return matched.withColumns({c: F.col("__hit")[c] for c in [polygon_id, *carry]}).drop("__hit")
 
 
