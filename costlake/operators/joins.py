@@ -13,6 +13,15 @@ from costlake.session import settle
 BROADCAST_ROWS = 100_000
 
 
+def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+             null_safe: bool = True) -> DataFrame:
+    """Equi-join keeping the left keys; by default NULL keys match each other, so no row is lost."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    pairs = [(left[k], renamed[f"__{k}"]) for k in keys]
+    condition = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
+
+
 def lookup_join(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
                 null_safe: bool = False, max_rows: int = BROADCAST_ROWS,
                 weight: Column | None = None) -> DataFrame:
@@ -27,12 +36,7 @@ def lookup_join(df: DataFrame, table: DataFrame, keys: list[str], how: str = "le
         small = table.limit(max_rows + 1).count() <= max_rows
     else:
         small = (table.agg(F.sum(weight)).first()[0] or 0) <= max_rows
-    renamed = table.withColumnsRenamed({k: f"__{k}" for k in keys})
-    pairs = [(df[k], renamed[f"__{k}"]) for k in keys]
-    matches = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    condition = reduce(lambda a, b: a & b, matches)
-    joined = df.join(F.broadcast(renamed) if small else renamed, condition, how)
-    return joined.drop(*[f"__{k}" for k in keys])
+    return key_join(df, F.broadcast(table) if small else table, keys, how, null_safe)
 
 
 def inflation_adjust(df: DataFrame, index: DataFrame, amount: str, year: str, target_year: int,
@@ -71,11 +75,12 @@ def without_coordinates(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 
 
 def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(other, keys, "left_semi")
+    """Rows whose keys occur in ``other``; its keys are made distinct before they travel."""
+    return df.join(other.select(*keys).distinct(), keys, "left_semi")
 
 
 def keep_unmatched(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(other, keys, "left_anti")
+    return df.join(other.select(*keys).distinct(), keys, "left_anti")
 
 
 def attach_by_key(df: DataFrame, columns: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costlake.operators.joins import key_join
+
 
 def _error_metrics(y: Column, p: Column, prefix: str = "") -> dict[str, Column]:
     error = y - p
@@ -77,7 +79,7 @@ def improvement(metrics: DataFrame, baseline: str, score: str = "rmse",
     """Percent by which each model's score is below the baseline's, per group."""
     group = group or ["split"]
     base = metrics.filter(F.col("model") == baseline).select(*group, F.col(score).alias("baseline"))
-    return (metrics.filter(F.col("model") != baseline).join(base, group)
+    return (key_join(metrics.filter(F.col("model") != baseline), base, group)
             .withColumn("improvement_percent",
                         F.try_divide(F.col("baseline") - F.col(score), F.col("baseline")) * 100.0)
             .select(*group, "model", score, "baseline", "improvement_percent"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.features import has_text
+from costlake.operators.joins import key_join
 from costlake.operators.quantiles import (DEFAULT_ACCURACY, exact_quantiles_wide, quantile_label,
                                           quantiles_row, trim_to_quantiles)
 from costlake.operators.ranking import top_k_per_group
@@ -108,7 +109,7 @@ def drift(df: DataFrame, value: str, split: str = "split", probs: tuple[float, .
     stats = [_rows().alias("rows"), F.avg(value).alias("mean")]
     if exact:
         wide = exact_quantiles_wide(df, value, list(probs), labels, [split])
-        return df.groupBy(split).agg(*stats).join(wide, [split])
+        return key_join(df.groupBy(split).agg(*stats), wide, [split], "left")
     summary = df.groupBy(split).agg(*stats, F.percentile_approx(value, list(probs), accuracy).alias("q"))
     return summary.select(split, "rows", "mean", *[F.col("q")[i].alias(n) for i, n in enumerate(labels)])
 
@@ -116,7 +117,7 @@ def drift(df: DataFrame, value: str, split: str = "split", probs: tuple[float, .
 def share_of_total(counts: DataFrame, count: str, group: list[str], out: str = "share_percent") -> DataFrame:
     """Each row's percent of its group's total, totals joined back so no group sits in one task."""
     totals = counts.groupBy(*group).agg(F.sum(count).alias("__total"))
-    return (counts.join(totals, group)
+    return (key_join(counts, totals, group)
             .withColumn(out, F.try_divide(F.col(count) * 100.0, F.col("__total"))).drop("__total"))
 
 
@@ -125,7 +126,7 @@ def category_drift(df: DataFrame, category: str, split: str = "split", k: int =
     counts = group_count(df, [split, category])
     top = top_k_per_group(counts, [split], "rows", k, [F.col(category).asc_nulls_last()])
     totals = counts.groupBy(split).agg(F.sum("rows").alias("__total"))
-    return (top.join(totals, [split])
+    return (key_join(top, totals, [split])
             .withColumn("share_percent", F.col("rows") * 100.0 / F.col("__total")).drop("__total"))
 
 

@@ -11,18 +11,22 @@ from costlake.session import settle
 # Polygons with at most this many vertices in all (about 16 bytes each) may be broadcast.
 BROADCAST_VERTICES = 2_000_000
 
+# No grid cell is smaller than ``cell_size / 2**20``.
+FINEST_LEVEL = -20
+
 
 def _polygon_cells(polygons: DataFrame, rings: str, cell_size: float) -> DataFrame:
     """One row per polygon and grid cell its bounding box touches.
 
-    A polygon uses the finest level (cell side ``cell_size * 2**level``) on which its box is
-    no wider than one cell, so it touches at most four cells however large it is.
+    A polygon uses the level (cell side ``cell_size * 2**level``, finer ones negative) whose
+    cells are just as wide as its box, so it touches at most four cells however large it is,
+    and a cell holds few polygons however small they are.
     """
     box = g.ring_bounds(F.col(rings)[0])
     boxed = polygons.withColumns({f"__{n}": c for n, c in box.items()})
     side = F.greatest(F.col("__max_x") - F.col("__min_x"), F.col("__max_y") - F.col("__min_y"))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(side / F.lit(float(cell_size))))).cast("int")
-    leveled = boxed.withColumn("__level", F.coalesce(level, F.lit(0)))
+    level = F.ceil(F.log2(side / F.lit(float(cell_size)))).cast("int")
+    leveled = boxed.withColumn("__level", F.greatest(F.lit(FINEST_LEVEL), level))
     step = _step(F.col("__level"), cell_size)
 
     def span(low: str, high: str) -> Column:
