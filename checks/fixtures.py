@@ -102,8 +102,8 @@ JOB_TABLE = CostTable(
     text="description",
     profiles={"target_source": (("target_source",), None), "zones_top20": (("zone",), 20),
               "annual_trend": (("permit_creation_year",), None)},
-    scale_columns=("existing_stories", "proposed_stories", "story_change", "existing_units",
-                   "proposed_units", "unit_change"),
+    scale_averages={f"avg_{c}": c for c in ("existing_stories", "proposed_stories", "story_change",
+                                            "existing_units", "proposed_units", "unit_change")},
 )
 
 

@@ -48,7 +48,7 @@ def _(spark, sf):
     ready = tables.write_verified(layers.feature_rows(fx.flagged_jobs(spark, sf), fx.JOB_TABLE, exact_bounds=True), f"{out}/ready")
     reports.write_reports(ready, out, fx.JOB_TABLE)
     return report_files.read_summary_json(spark, f"{out}/summary").select(
-        F.col("dataset.row_count").alias("rows"), F.col("cost_statistics.min").alias("low"),
+        F.col("dataset.rows").alias("rows"), F.col("cost_statistics.min").alias("low"),
         F.col("cost_statistics.max").alias("high"))
 
 

@@ -123,7 +123,8 @@ def _(spark, sf):
  round(avg(proposed_stories), 6) AS avg_proposed_stories, round(avg(existing_units), 6) AS avg_existing_units,
  round(avg(proposed_units), 6) AS avg_proposed_units FROM jobs""")
 def _(spark, sf):
-    out = profile.column_averages(fx.jobs(spark, sf), ["existing_stories", "proposed_stories", "existing_units", "proposed_units"])
+    out = profile.column_averages(fx.jobs(spark, sf), {
+        f"avg_{c}": c for c in ("existing_stories", "proposed_stories", "existing_units", "proposed_units")})
     return _rounded(out, 6, *out.columns)
 
 

@@ -74,8 +74,9 @@ def group_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(_rows().alias("rows"))
 
 
-def column_averages(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.agg(*[F.avg(c).alias(f"avg_{c}") for c in columns])
+def column_averages(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row of averages; ``columns`` maps output names to columns."""
+    return df.agg(*[F.avg(c).alias(name) for name, c in columns.items()])
 
 
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -30,7 +30,7 @@ class CostTable:
     numeric: tuple[str, ...]
     text: str
     profiles: dict[str, tuple[tuple[str, ...], int | None]] = field(default_factory=dict)
-    scale_columns: tuple[str, ...] = ()
+    scale_averages: dict[str, str] = field(default_factory=dict)
 
 
 # Column names of the permit table after snake-casing.
@@ -92,8 +92,14 @@ PERMITS = CostTable(
         "neighborhoods_top20": (("neighborhoods_analysis_boundaries",), 20),
         "zipcodes_top20": (("zipcode",), 20),
     },
-    scale_columns=("number_of_existing_stories", "number_of_proposed_stories", "story_change",
-                   "existing_units", "proposed_units", "unit_change"),
+    scale_averages={
+        "avg_existing_stories": "number_of_existing_stories",
+        "avg_proposed_stories": "number_of_proposed_stories",
+        "avg_story_change": "story_change",
+        "avg_existing_units": "existing_units",
+        "avg_proposed_units": "proposed_units",
+        "avg_unit_change": "unit_change",
+    },
 )
 
 # Training policy of the permit models.

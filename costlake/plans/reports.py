@@ -37,13 +37,14 @@ def summary_sections(ready: DataFrame, table: CostTable = PERMITS, value: str =
                      accuracy: int = 1000) -> dict[str, DataFrame]:
     """One-row sections of the nested summary."""
     return {
-        "dataset": tables.table_shape(ready),
+        "dataset": tables.table_shape(ready).select(F.col("row_count").alias("rows"),
+                                                    F.col("column_count").alias("columns")),
         "cost_statistics": profile.distribution(ready, value),
         "cost_quantiles": quantiles.quantiles_row(ready, value, list(PROBABILITIES), accuracy=accuracy),
         "low_cost_diagnostic": _wide(profile.threshold_counts(ready, value, list(THRESHOLDS)),
                                      "threshold", ["rows_below", "percentage"]),
-        "project_scale": profile.column_averages(ready, [c for c in table.scale_columns
-                                                         if c in ready.columns]),
+        "project_scale": profile.column_averages(ready, {
+            name: c for name, c in table.scale_averages.items() if c in ready.columns}),
         "null_rates": _wide(profile.null_profile(ready, list(table.null_checked)),
                             "column", ["missing_rows", "missing_percentage"]),
     }

@@ -15,6 +15,7 @@ from costlake.operators.profile import columns_with_values
 from costlake.plans import permits
 from costlake.plans.permits import PERMITS, CostTable
 from costlake.session import settle
+from costlake.sources import reports
 from costlake.sources.models import save_model
 
 BASELINE = "median_baseline"
@@ -164,3 +165,21 @@ def explain_text(ready: DataFrame, policy: Policy = Policy(only_source="revised_
         ready.sparkSession, terms, model.stages[-1].coefficients.toArray().tolist()))
     return {"terms": effects, "quality": quality,
             "strongest": ranking.signed_extremes(effects, "coefficient_log10", "term", top)}
+
+
+def write_training_reports(result: Trained, out: str) -> None:
+    """Metric table, improvement over the baseline, and the chosen model's name and scores."""
+    reports.write_report_csv(result.metrics, f"{out}/metrics")
+    reports.write_report_csv(result.improvement, f"{out}/improvement")
+    chosen = result.metrics.filter((F.col("model") == result.best) & (F.col("split") == "validation"))
+    reports.write_summary_json({"best": chosen}, f"{out}/results")
+
+
+def write_explanation(found: dict[str, DataFrame], compared: Trained, out: str,
+                      without: str = "structured", with_: str = "structured_text") -> None:
+    """Strongest terms in both directions, companion quality, and what text adds per split."""
+    strongest = found["strongest"]
+    for direction in ("higher", "lower"):
+        reports.write_report_csv(strongest.filter(F.col("direction") == direction), f"{out}/terms_{direction}")
+    reports.write_report_csv(found["quality"], f"{out}/companion_quality")
+    reports.write_report_csv(metrics.ablation(compared.metrics, without, with_), f"{out}/text_ablation")

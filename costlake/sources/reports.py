@@ -26,10 +26,14 @@ def read_report_csv(spark: SparkSession, path: str, schema: str | StructType) ->
 
 
 def write_summary_json(sections: dict[str, DataFrame], path: str) -> None:
-    """One JSON document: each one-row section becomes a nested object under its name."""
+    """One JSON document: each one-row section becomes a nested object under its name.
+
+    A section whose only column is called ``values`` (a map, say) is that object itself.
+    """
     summary = None
     for name, section in sections.items():
-        nested = section.select(F.struct(*section.columns).alias(name))
+        whole = F.col("values") if section.columns == ["values"] else F.struct(*section.columns)
+        nested = section.select(whole.alias(name))
         if summary is None:
             summary = nested
         else:
