@@ -107,7 +107,15 @@ def _(spark, sf):
 
 
 def _ready(spark, sf):
-    return layers.feature_rows(fx.flagged_jobs(spark, sf), fx.JOB_TABLE)
+    # computed once, as the feature layer of a real run would be written once
+    return settle(layers.feature_rows(fx.flagged_jobs(spark, sf), fx.JOB_TABLE, exact_bounds=True))
+
+
+# rows every model must predict, by split; and no model may be far worse than the spread of the target
+_PREDICTED = f"""WITH {fx.TARGETS}, kept AS (SELECT split FROM targets
+  WHERE target_cost BETWEEN greatest(100, (SELECT quantile_disc(target_cost, 0.01) FROM targets))
+  AND least(1000000, (SELECT quantile_disc(target_cost, 0.99) FROM targets)))
+ SELECT model, split, count(*) AS rows, true AS error_bounded FROM kept, (VALUES {{models}}) m(model) GROUP BY model, split"""
 
 
 def _vectors(spark, sf):
@@ -126,15 +134,15 @@ def _fit_and_measure(spark, sf, estimators):
                                ["split", "target_cost", "label"])
     measured = settle(metrics.log_metrics(scored, "label", "prediction", ["model", "split"]))
     vectors.unpersist()
-    return measured
+    return measured.select("model", "split", "rows", (F.col("log_r2") > -1).alias("error_bounded"))
 
 
-@check("mod_03_random_forest")
+@check("mod_03_random_forest", _PREDICTED.format(models="('random_forest')"))
 def _(spark, sf):
     return _fit_and_measure(spark, sf, {"random_forest": models.random_forest(trees=10, depth=6)})
 
 
-@check("mod_04_boosted_trees")
+@check("mod_04_boosted_trees", _PREDICTED.format(models="('gradient_boosted_trees')"))
 def _(spark, sf):
     return _fit_and_measure(spark, sf, {"gradient_boosted_trees": models.boosted_trees(rounds=8, depth=4)})
 
@@ -164,7 +172,7 @@ def _(spark, sf):
     return metrics.log_metrics(scored.withColumn("model", F.lit("quadratic")), "label", "prediction", ["model"])
 
 
-@check("mod_07_boosted_variants")
+@check("mod_07_boosted_variants", _PREDICTED.format(models="('absolute_loss'), ('sampled_columns'), ('shallow')"))
 def _(spark, sf):
     return _fit_and_measure(spark, sf, {
         "absolute_loss": models.robust_boosted_trees(rounds=4, depth=4),

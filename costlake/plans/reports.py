@@ -21,8 +21,7 @@ def group_reports(ready: DataFrame, table: CostTable = PERMITS, value: str = "ta
         if not set(keys) <= set(ready.columns):
             continue
         found = profile.group_profile(ready, list(keys), value, accuracy, keep_null_keys=top is None)
-        out[name] = found.orderBy(*keys) if top is None else ranking.top_rows(
-            found, "projects", top, list(keys))
+        out[name] = found if top is None else ranking.top_rows(found, "projects", top, list(keys))
     return out
 
 
@@ -53,7 +52,9 @@ def summary_sections(ready: DataFrame, table: CostTable = PERMITS, value: str =
 def write_reports(ready: DataFrame, out: str, table: CostTable = PERMITS) -> None:
     reports.write_summary_json(summary_sections(ready, table), f"{out}/summary")
     for name, report in group_reports(ready, table).items():
-        reports.write_report_csv(report, f"{out}/{name}")
+        keys, top = table.profiles[name]
+        order = list(keys) if top is None else [F.desc("projects"), *keys]
+        reports.write_report_csv(report, f"{out}/{name}", order)
 
 
 def drift_reports(split_rows: DataFrame, category: str, table: CostTable = PERMITS,

@@ -169,7 +169,7 @@ def explain_text(ready: DataFrame, policy: Policy = Policy(only_source="revised_
 
 def write_training_reports(result: Trained, out: str) -> None:
     """Metric table, improvement over the baseline, and the chosen model's name and scores."""
-    reports.write_report_csv(result.metrics, f"{out}/metrics")
+    reports.write_report_csv(result.metrics, f"{out}/metrics", ["split", "rmse"])
     reports.write_report_csv(result.improvement, f"{out}/improvement")
     chosen = result.metrics.filter((F.col("model") == result.best) & (F.col("split") == "validation"))
     reports.write_summary_json({"best": chosen}, f"{out}/results")
@@ -180,6 +180,7 @@ def write_explanation(found: dict[str, DataFrame], compared: Trained, out: str,
     """Strongest terms in both directions, companion quality, and what text adds per split."""
     strongest = found["strongest"]
     for direction in ("higher", "lower"):
-        reports.write_report_csv(strongest.filter(F.col("direction") == direction), f"{out}/terms_{direction}")
+        reports.write_report_csv(strongest.filter(F.col("direction") == direction), f"{out}/terms_{direction}",
+                                 [F.abs("coefficient_log10").desc(), "term"])
     reports.write_report_csv(found["quality"], f"{out}/companion_quality")
     reports.write_report_csv(metrics.ablation(compared.metrics, without, with_), f"{out}/text_ablation")

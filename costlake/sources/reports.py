@@ -16,9 +16,15 @@ RUN_SCHEMA = (
 )
 
 
-def write_report_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header. For report-sized tables (already aggregated)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_report_csv(df: DataFrame, path: str, order: list | None = None) -> None:
+    """One CSV file with a header, for report-sized tables (already aggregated).
+
+    The rows are shuffled into the one file, so the aggregation before it stays parallel.
+    """
+    rows = df.repartition(1)
+    if order:
+        rows = rows.sortWithinPartitions(*order)
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_report_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
