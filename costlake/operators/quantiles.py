@@ -22,7 +22,7 @@ DEFAULT_ACCURACY = 10_000
 
 # Buckets an interval is cut into, and the rows it may hold before its values are sorted.
 BUCKETS = 1024
-SORT_ROWS = 1_000_000
+SORT_ROWS = 50_000
 
 
 def quantile_label(p: float) -> str:
@@ -57,10 +57,14 @@ def _pinned(targets: DataFrame, keys: list[str]) -> DataFrame:
     """The target table, computed. Without keys it is two rows per probability: literals do."""
     if keys:
         return settle(targets)
-    types = {f.name: f.dataType for f in targets.schema}
-    found = [F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in types]) for row in targets.collect()]
-    literal = F.array(*found) if found else F.array().cast(ArrayType(targets.schema))
-    return targets.sparkSession.range(0, 1, 1, 1).select(F.inline(literal))
+    fields = [(f.name, f.dataType.simpleString()) for f in targets.schema]
+    found = [", ".join(f"'{name}', cast('{row[name]!r}' AS {kind})" for name, kind in fields)
+             for row in targets.collect()]
+    literal = (", ".join(f"named_struct({row})" for row in found))
+    table = targets.sparkSession.range(0, 1, 1, 1)
+    if not found:
+        return table.select(F.inline(F.array().cast(ArrayType(targets.schema))))
+    return table.select(F.expr(f"inline(array({literal}))"))
 
 
 def _narrowed(rows: DataFrame, targets: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
@@ -104,18 +108,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         *keys, F.greatest(-largest, F.least(largest, v)).alias("v"))
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
 
-    n = F.col("n")
-
-    def position(p: float) -> Column:
-        if interpolate:
-            return (n - 1) * F.lit(float(p))
-        return F.greatest(n - F.floor(n - n * F.lit(float(p))), F.lit(1)) - 1
-
-    ends = [F.struct(F.lit(i).alias("which"), F.lit(part).alias("part"),
-                     (position(p) - F.floor(position(p))).cast("double").alias("fraction"),
-                     end(position(p)).cast("bigint").alias("rank"))
-            for i, p in enumerate(probs) for part, end in enumerate((F.floor, F.ceil))]
-    targets = stats.filter(n > 0).select(*keys, "lo", "hi", "n", F.inline(F.array(*ends)))
+    n, p = F.col("n"), F.col("probability")
+    position = (n - 1) * p if interpolate else F.greatest(n - F.floor(n - n * p), F.lit(1)) - 1
+    wanted = stats.filter(n > 0).select("*", F.posexplode(F.array(*[F.lit(float(x)) for x in probs]))
+                                        .alias("which", "probability"))
+    placed = wanted.withColumn("position", position.cast("double"))
+    targets = placed.select(
+        *keys, "lo", "hi", "n", "which", (F.col("position") - F.floor("position")).alias("fraction"),
+        F.posexplode(F.array(F.floor("position"), F.ceil("position"))).alias("part", "rank"))
     targets = _pinned(targets, keys)
     bucket = F.least(F.lit(BUCKETS - 1), F.floor(
         F.try_divide(F.col("v") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS))
