@@ -23,16 +23,24 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, rid, kb): the two columns an operator needs and a key of the row.
+def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, text, rid, kb[, rest]): the two columns an operator needs and a key of the row.
+
+    Columns named in ``carry`` go along as one struct ``rest``; all others are left behind, whatever their names.
 
     ``rid`` is a hash of id and text and ``kb`` one of the text alone, so rows with a NULL or
     repeated id stay apart unless they are the same in both columns, and then they get the same
     answer. NULL texts count as empty.
     """
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    return df.select(df[id_col].alias("id"), text.alias("text"), F.xxhash64(df[id_col], text).alias("rid"),
-                     F.xxhash64(text).alias("kb"))
+    rest = [F.struct(*[df[c] for c in carry]).alias("rest")] if carry else []
+    return df.select(df[id_col].alias("id"), text.alias("text"), row_key(df, id_col, text_col).alias("rid"),
+                     F.xxhash64(text).alias("kb"), *rest)
+
+
+def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The ``rid`` of :func:`texts`."""
+    return F.xxhash64(df[id_col], F.coalesce(df[text_col].cast("string"), F.lit("")))
 
 
 def stow(df: DataFrame, label: str) -> DataFrame:

@@ -213,21 +213,23 @@ def _refilter(counts: DataFrame, filters: DataFrame, come: DataFrame | None, gon
     return filters.groupBy("shard").cogroup(gone.groupBy("shard")).applyInPandas(drop, "shard int, filter binary")
 
 
-def drop_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1) -> DataFrame:
-    """(id column, rid, kb, kept, n_lines, n_dropped) of every row without the lines whose keys are in ``repeated``.
+def drop_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1,
+               carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id column, rid, kb, kept, n_lines, n_dropped, columns of ``carry``) of every row without the lines whose keys are in ``repeated``.
 
     Texts are split at line feeds; a NULL or empty text is one empty line. The other lines stay as they are,
     in order, joined by line feeds; a text that loses all lines becomes empty. Keys shorter than ``min_chars``
     are never dropped. Only (row, key) pairs are joined; texts meet the keys that they lose.
     """
-    rows = texts(docs, id_col, text_col)
+    rows = texts(docs, id_col, text_col, carry)
     pairs = rows.select("rid", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), line_key))).alias("key"))
     pairs = pairs.filter(F.char_length("key") >= min_chars).select("rid", *hashes(F.col("key")))
     lost = pairs.join(repeated, ["k1", "k2"]).groupBy("rid").agg(F.collect_set("k1").alias("lost"))
-    met = rows.join(lost, "rid", "left").select("id", "rid", "kb", "text", "lost")
+    met = rows.join(lost, "rid", "left").select("id", "rid", "kb", "text", "lost", *(["rest"] if carry else []))
     kind = docs.schema[id_col].dataType
+    rest = [met.schema["rest"]] if carry else []
     schema = pa.schema([("id", arrow_type(kind)), ("rid", pa.int64()), ("kb", pa.int64()), ("kept", pa.string()),
-                        ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
+                        ("n_lines", pa.int64()), ("n_dropped", pa.int64()), *[("rest", arrow_type(f.dataType)) for f in rest]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in byte_slices(batches, "text"):
@@ -242,11 +244,12 @@ def drop_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", tex
                 kept.append(text.decode() if stay is lines else b"\n".join(stay).decode())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(stay))
-            yield record(schema, *batch.columns[:3], kept, n_lines, n_dropped)
+            yield record(schema, *batch.columns[:3], kept, n_lines, n_dropped, *batch.columns[5:])
 
     out = T.StructType([T.StructField("id", kind), T.StructField("rid", T.LongType()), T.StructField("kb", T.LongType()),
-                        T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return met.mapInArrow(run, out).withColumnRenamed("id", id_col)
+                        T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), *rest])
+    cut = met.mapInArrow(run, out)
+    return cut.select(F.col("id").alias(id_col), "rid", "kb", "kept", "n_lines", "n_dropped", *[F.col("rest")[c].alias(c) for c in carry])
 
 
 _BLANKS = BLANKS.encode()

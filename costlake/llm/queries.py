@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import bpe, chat, decontaminate, embedding_dedup, line_dedup, sharding, simhash, suffix_dedup, toxicity
+from costlake.llm import bpe, chat, decontaminate, embedding_dedup, line_dedup, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,3 +166,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.near_passages(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, components, forest, record, stow
+from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, components, forest, record, stow, texts
 
 #: The Golay code's generator polynomial, length, check bits and covering radius.
 GOLAY, BITS, CHECK_BITS, RADIUS = 0b101011100011, 23, 11, 3
@@ -52,18 +52,18 @@ def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(id column, fp bigint) of every row; NULL text counts as empty and gets 0."""
+    """(id column, rid, fp bigint) of every row; NULL text counts as empty and gets 0."""
     kind = docs.schema[id_col].dataType
-    schema = pa.schema([("id", arrow_type(kind)), ("fp", pa.int64())])
+    schema = pa.schema([("id", arrow_type(kind)), ("rid", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in byte_slices(batches, "text"):
             raw = data.tobytes()
             made = np.array([fingerprint(raw[a:b], width) for a, b in itertools.pairwise(offsets.tolist())], np.uint64)
-            yield record(schema, batch.column(0), pa.array(made.view(np.int64)))
+            yield record(schema, batch.column(0), batch.column(1), pa.array(made.view(np.int64)))
 
-    slim = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    out = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
+    slim = texts(docs, id_col, text_col).select("id", "rid", "text")
+    out = T.StructType([T.StructField("id", kind), T.StructField("rid", T.LongType()), T.StructField("fp", T.LongType())])
     return slim.mapInArrow(run, out).withColumnRenamed("id", id_col)
 
 
@@ -219,16 +219,17 @@ def _close(fp: np.ndarray, role: np.ndarray, starts: np.ndarray, distance: int)
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4,
                     width: int = 4) -> DataFrame:
-    """(id column, fp bigint, component): the least id reachable through fingerprints within ``distance``.
+    """(id column, rid, fp bigint, root, component): the least id reachable through fingerprints within ``distance``.
 
     Equal fingerprints are one node, so copies cost nothing past the first aggregation. Texts without words
     share fingerprint 0 and are linked like any other. NULL ids belong to their component but never name it;
-    a component of NULL ids only has a NULL name. Repeated rows each get a row.
+    a component of NULL ids only has a NULL name. Repeated rows each get a row. ``root`` is the
+    component's least fingerprint.
     """
     rows = stow(fingerprints(docs, id_col, text_col, width), "simhash")
     nodes = rows.groupBy("fp").agg(F.min(id_col).alias("least"))
     joined = components(links(nodes, distance)).withColumnRenamed("node", "fp")
     named = nodes.join(joined, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component"))
-    of = named.select("fp", "root").join(names, "root").select("fp", "component")
-    return rows.join(of, "fp").select(id_col, "fp", "component")
+    of = named.select("fp", "root").join(names, "root").select("fp", "root", "component")
+    return rows.join(of, "fp").select(id_col, "rid", "fp", "root", "component")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, record
+from costlake.llm.common import LOWER, UPPER, byte_slices
 
 #: Bounds of the training sample (the texts with the least hashes of their ids) and of the vocabulary.
 MOST_POSITIVE, MOST_UNLABELLED, MOST_WORDS = 4_000, 8_000, 65_536
@@ -152,19 +152,25 @@ def train(docs: DataFrame, labels: DataFrame, holdout: int = 5, id_col: str = "d
     return Model({w: float(x) for w, x in zip(table, weights) if abs(x) > 1e-6}, bias)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id column, score double) of every row, from the whole text; empty and NULL texts score by the bias."""
+def score_rows(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """``docs`` with the score of each row's whole text; empty and NULL texts score by the bias."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # at most MOST_WORDS weights
-    kind = docs.schema[id_col].dataType
-    schema = pa.schema([("id", arrow_type(kind)), ("score", pa.float64())])
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema, T.StructField(out_col, T.DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(*shared.value)
-        for batch, data, offsets in byte_slices(batches, "text"):
-            raw = data.tobytes()
-            margins = np.array([known.margin(raw[a:b]) for a, b in itertools.pairwise(offsets.tolist())])
-            yield record(schema, batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(margins, -40, 40)))))
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1000):
+                part = batch.slice(low, 1000)
+                margins = np.array([known.margin((x.as_py() or "").encode()) for x in part.column(at)])
+                scores = pa.array(1 / (1 + np.exp(-np.clip(margins, -40, 40))), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, out_col])
 
-    slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    out = T.StructType([T.StructField("id", kind), T.StructField("score", T.DoubleType())])
-    return slim.mapInArrow(run, out).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id column, score double) of every row, by :func:`score_rows`."""
+    slim = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    return score_rows(slim, model).select(id_col, "score")
