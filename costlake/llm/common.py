@@ -15,7 +15,7 @@ from costlake.session import scratch_path, settle
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of text that a Python worker handles at a time; one longer text is a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 
 def ascii_lower(text: Column) -> Column:

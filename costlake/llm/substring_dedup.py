@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, mix, record, texts
-from costlake.llm.suffix_dedup import CROWDED, MIXED, UNIFORM, Rolling, repeated_keys, sliding_min
+from costlake.llm.suffix_dedup import CROWDED, MIXED, SLICE, UNIFORM, Rolling, repeated_keys, sliding_min
 
 #: Words of a shingle and of a passage; the least similarity of near-duplicates.
 SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 #: Hash functions, and how many of them have to agree on a candidate.
 FUNCTIONS, ENOUGH = 3, 2
-#: Occurrences beyond which a hash with unlike contents is resolved by exact passages.
+#: Unlike contents beyond which a hash is resolved by exact passages.
 HOT = 4096
 
 _SPACE = np.zeros(256, bool)
@@ -128,25 +128,29 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("rid", pa.int64())])
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             _, text, _, _, _, h, x, _ = windows(data, offsets, width)
             if len(text):
                 yield record(schema, h.view(np.int64), x.view(np.int64), batch.column(0).to_numpy(zero_copy_only=False)[text])
 
-    found = repeated_keys(rows, keys, F.when(F.col("low") == F.col("high"), UNIFORM).when(F.col("n") <= hot, MIXED).otherwise(CROWDED))
+    found = repeated_keys(rows, keys, hot)
     met = rows.join(found, "rid").select("rid", "kb", "id", "text", "found")
     fields = "h bigint, x bigint, kind tinyint, content binary, centre int, low int, size int"
     seen = met.mapInArrow(_emit(width, arrow_type(docs.schema[id_col].dataType)), f"id {docs.schema[id_col].dataType.simpleString()}, rid bigint, kb bigint, " + fields)
     contents = seen.filter(F.col("kind") == MIXED).groupBy("h", "x", "content", "centre").agg(F.count("*").alias("n"))
     judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(
         _verify(width, similarity), "h bigint, x bigint, first int, last int, class_id bigint")
-    of_mixed = seen.filter(F.col("kind") == MIXED).select("id", "rid", "kb", "h", "x", "low").join(judged, ["h", "x"])
-    plain = seen.filter(F.col("kind") != MIXED)
-    again = plain.filter(F.col("kind") == CROWDED).groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
-    whole = plain.filter(F.col("kind") == UNIFORM).unionByName(plain.filter(F.col("kind") == CROWDED).join(again, ["h", "x"], "left_semi").select(*plain.columns))
-    spans = of_mixed.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"), (F.col("low") + F.col("last") + width + SHINGLE - 1).alias("end"), "class_id")
-    spans = spans.unionByName(whole.select("id", "rid", "kb", F.col("low").alias("start"), (F.col("low") + F.col("size") + SHINGLE - 1).alias("end"),
-                                           F.xxhash64("h", "x").alias("class_id")))
+    whole = (F.lit(0).alias("first"), (F.col("size") - width).alias("last"), F.xxhash64("h", "x").alias("class_id"))
+    slim = seen.filter(F.col("kind") != CROWDED).select("id", "rid", "kb", "h", "x", "kind", "low", "size")
+    known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
+    known = known.filter((F.col("kind") == UNIFORM) | F.col("of").isNotNull()).select("id", "rid", "kb", "low", "from", "to", "of", *whole)
+    spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
+    if not found.filter(F.exists("found", lambda f: f["kind"] == CROWDED)).isEmpty():
+        exact = seen.filter(F.col("kind") == CROWDED)
+        again = exact.groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
+        spans = spans.unionByName(exact.join(again, ["h", "x"]).select("id", "rid", "kb", "low", *whole))
+    spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
+                         (F.col("low") + F.col("last") + width + SHINGLE - 1).alias("end"), "class_id")
     # within a row, overlapping spans are one passage; it is named by its least class
     runs = F.sort_array(F.collect_set(F.struct("start", "end", "class_id")))
     empty = F.array().cast("array<struct<start:int,end:int,class_id:bigint>>")
@@ -167,7 +171,7 @@ def _emit(width: int, id_type: pa.DataType):
                         ("content", pa.binary()), ("centre", pa.int32()), ("low", pa.int32()), ("size", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             shingles, text, centre, low, high, h, x, function = windows(data, offsets, width)
             kind = _kinds(batch, text, h)
             of = kind >= 0

@@ -24,10 +24,12 @@ from pyspark.sql import types as T
 from costlake.llm.common import arrow_type, byte_slices, mix, record, stow, texts
 
 LENGTH, GRAM = 200, 64
-#: Occurrences beyond which an anchor with unlike contexts is resolved window by window instead of in one index.
+#: Unlike contexts beyond which an anchor is resolved window by window instead of in one index.
 HOT = 4096
 #: Symbols of an index, roughly.
 INDEX_SYMBOLS = 1_000_000
+#: Bytes handled at a time, so few that all that is computed from them stays in the cache.
+SLICE = 500_000
 UNIFORM, MIXED, CROWDED = 0, 1, 2
 
 _PLACE_BITS = np.uint64(28)
@@ -35,17 +37,24 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _powers(base: int, size: int) -> np.ndarray:
+    if (base, size) not in _POWERS:
+        made = np.full(size, base, np.uint64)
+        made[0] = 1
+        _POWERS[base, size] = np.cumprod(made)
+    return _POWERS[base, size]
+
+
 class Rolling:
     """Hashes of byte ranges of a buffer, from one pass over it."""
 
     def __init__(self, data: np.ndarray):
         n = len(data) + 1
-        powers = np.full(n, _BASE, np.uint64)
-        powers[0] = 1
-        powers = np.cumprod(powers)
-        self.back = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        self.back[0] = 1
-        self.back = np.cumprod(self.back)
+        size = 1 << max(20, n.bit_length())  # a power of two, so that few are ever made
+        powers, self.back = _powers(_BASE, size)[:n], _powers(pow(_BASE, -1, 1 << 64), size)[:n]
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * powers[:-1])])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -92,17 +101,23 @@ def occurrences(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return np.searchsorted(offsets, anchor, "right") - 1, anchor, first, last, hashes[anchor], rolling
 
 
-def repeated_keys(rows: DataFrame, keys, kinds) -> DataFrame:
+def repeated_keys(rows: DataFrame, keys, hot: int) -> DataFrame:
     """(rid, found array<struct<h, kind>>): of each row the sketch keys that occur more than once in all rows.
 
-    ``keys(batches)`` yields (h, x, rid) records; ``kinds`` is the kind of a key by its count ``n`` and the
-    least and greatest ``x``. Keys are counted on their own first, so the rows of unique keys travel once.
+    ``keys(batches)`` yields (h, x, rid) records, x being a hash of the content. A key is of kind UNIFORM if all
+    its contents are the same, CROWDED if it has more than ``hot`` different ones, else MIXED. Keys are
+    counted on their own first, so the rows of unique keys travel once.
     """
-    schema = "h bigint, x bigint, rid bigint"
-    made = rows.select("rid", "text").mapInArrow(keys, schema)
+    made = rows.select("rid", "text").mapInArrow(keys, "h bigint, x bigint, rid bigint")
+    same = F.when(F.col("low") == F.col("high"), UNIFORM).otherwise(MIXED)
     groups = (made.groupBy("h").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-              .filter("n > 1").select("h", kinds.cast("tinyint").alias("kind")))
-    found = made.select("h", "rid").join(groups, "h").groupBy("rid").agg(F.collect_set(F.struct("h", "kind")).alias("found"))
+              .filter("n > 1").select("h", "n", same.cast("tinyint").alias("kind")))
+    again = stow(made.join(groups, "h"), "repeated-keys")
+    # only a key with very many rows can have very many contents; there are few such keys
+    large = again.filter((F.col("n") > hot) & (F.col("kind") == MIXED)).groupBy("h", "x").agg(F.count("*").alias("n"))
+    large = large.groupBy("h").agg(F.count("*").alias("contents")).filter(F.col("contents") > hot).select("h", F.lit(True).alias("large"))
+    kind = F.when(F.col("large"), CROWDED).otherwise(F.col("kind")).cast("tinyint").alias("kind")
+    found = again.select("h", "rid", "kind").join(large, "h", "left").groupBy("rid").agg(F.collect_set(F.struct("h", kind)).alias("found"))
     return stow(found, "repeated-keys")
 
 
@@ -191,20 +206,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeats. ``kept`` is what remains, in order; it may cut a character, so it is binary.
 
     Only an anchor's occurrences meet in a task, pre-aggregated to distinct contexts; an anchor with more than
-    ``hot`` occurrences and unlike contexts is resolved by counting a hash of each of its windows.
+    ``hot`` unlike contexts is resolved by counting a hash of each of its windows.
     """
     rows = texts(docs, id_col, text_col)
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("rid", pa.int64())])
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             text, _, first, last, hashes, rolling = occurrences(data, offsets, length, gram)
             if len(text):
                 yield record(schema, hashes.view(np.int64), rolling.of(first, last + length).view(np.int64),
                              batch.column(0).to_numpy(zero_copy_only=False)[text])
 
-    mixed = F.when(F.col("low") == F.col("high"), UNIFORM).when(F.col("n") <= hot, MIXED).otherwise(CROWDED)
-    found = repeated_keys(rows, keys, mixed)
+    found = repeated_keys(rows, keys, hot)
     met = rows.join(found, "rid", "left").select("rid", "kb", "id", "text", "found")
     contexts = met.mapInArrow(_emit(length, gram, MIXED), "h bigint, x bigint, lead binary, tail binary, rid bigint, kb bigint, first int")
     distinct = contexts.groupBy("h", "x", "lead", "tail").agg(F.count("*").alias("n"))
@@ -246,7 +260,7 @@ def _emit(length: int, gram: int, kind: int):
     single = pa.schema([f for f in whole if f.name not in ("lead", "tail")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             text, anchor, first, last, hashes, rolling = occurrences(data, offsets, length, gram)
             if not len(text):
                 continue
@@ -316,7 +330,7 @@ def _cut(length: int, gram: int, id_type: pa.DataType):
                         ("spans", spans_type), ("kept", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             text, _, first, last, hashes, _ = occurrences(data, offsets, length, gram)
             edges = np.zeros(len(data) + 1, np.int32)
             if len(text):
