@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only where nobody set it
-    (a local test) does the driver pick a folder of its own.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session without the setting
+    picks a folder of its own; on a cluster that folder would not be shared, so it is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     picked = tempfile.mkdtemp(prefix="costlake-")
     spark.conf.set("spark.checkpoint.dir", picked)
     return picked
