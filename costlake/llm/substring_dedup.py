@@ -10,6 +10,7 @@ partner, and is then verified by the Jaccard similarity of shingles.
 
 from __future__ import annotations
 
+import collections
 import itertools
 from collections.abc import Iterable, Iterator
 
@@ -222,18 +223,29 @@ def _verify(width: int, similarity: float):
     """Compare the contents of a hash with its representatives, contents that none before was near to."""
     schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("class_id", pa.int64())])
 
+    need = least_shared(width, similarity)
+
     def judge(h: int, rows: list[tuple]) -> Iterator[tuple]:
         leaders: list[list] = []
+        having: dict[int, list[int]] = {}  # the representatives that have a shingle
         for x, content, centre, n in rows:
             mine = np.frombuffer(content, np.uint32)
+            held = collections.Counter(mine.tolist())
+            of_all = held.pop(int(mine[centre]))  # every content of the hash has the centre
+            shared: dict[int, int] = {}
+            for shingle, times in held.items():
+                for which in having.get(shingle, ()):
+                    shared[which] = shared.get(which, of_all) + times
             hit = near = None
-            for leader in leaders:
+            for leader in [leaders[which] for which in sorted(shared) if shared[which] >= need]:  # fewer cannot be near
                 near = nearest(mine, centre, leader[1], leader[2], width, similarity)
                 if near is not None:
                     hit = leader
                     break
             if hit is None:
                 name = int(mix(np.array([h ^ x], np.int64).view(np.uint64))[0].view(np.int64))
+                for shingle in held:
+                    having.setdefault(shingle, []).append(len(leaders))
                 leaders.append([x, mine, centre, name, n > 1])
                 if n > 1:
                     yield h, x, 0, len(mine) - width, name
@@ -257,9 +269,14 @@ def _verify(width: int, similarity: float):
     return run
 
 
+def least_shared(width: int, similarity: float) -> int:
+    """The shingles that two passages of this width share at least when they are near-duplicates."""
+    return int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9))
+
+
 def nearest(mine: np.ndarray, centre: int, other: np.ndarray, its_centre: int, width: int, similarity: float) -> tuple[int, int] | None:
     """(first, last) beginnings of ``mine``'s passages that are near-duplicates of one of ``other``'s, or None."""
-    need = int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9))
+    need = least_shared(width, similarity)
     both = np.isin(mine, other)
     total = np.concatenate([[0], np.cumsum(both)])
     shared = total[width:] - total[:-width]
