@@ -237,7 +237,9 @@ def _verify(width: int, similarity: float):
                 for which in having.get(shingle, ()):
                     shared[which] = shared.get(which, of_all) + times
             hit = near = None
-            for leader in [leaders[which] for which in sorted(shared) if shared[which] >= need]:  # fewer cannot be near
+            # fewer cannot be near; a content that repeats its centre so often may be near to any
+            some = range(len(leaders)) if of_all >= need else sorted(w for w, n_shared in shared.items() if n_shared >= need)
+            for leader in [leaders[which] for which in some]:
                 near = nearest(mine, centre, leader[1], leader[2], width, similarity)
                 if near is not None:
                     hit = leader
