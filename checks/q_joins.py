@@ -67,7 +67,7 @@ def _(spark, sf):
 @check("jon_04_match_polygons", f"""WITH {fx.POINTS} SELECT point_id, min(polygon_id) AS polygon_id
  FROM points LEFT JOIN cells ON x >= x0 AND x < x0 + side AND y >= y0 AND y < y0 + side GROUP BY point_id""")
 def _(spark, sf):
-    return spatial.match_polygons(fx.points(spark, sf), fx.cells(spark, sf), "point_id",
+    return spatial.match_polygons(fx.points(spark, sf), fx.cells(spark, sf),
                                   cell_size=1.0).select("point_id", "polygon_id")
 
 
@@ -75,16 +75,26 @@ def _(spark, sf):
  FROM points LEFT JOIN cells ON x >= x0 AND x < x0 + side AND y >= y0 AND y < y0 + side GROUP BY point_id""")
 def _(spark, sf):
     # the way taken when the polygons are too many to broadcast
-    return spatial.match_polygons(fx.points(spark, sf), fx.cells(spark, sf), "point_id", cell_size=1.0,
+    return spatial.match_polygons(fx.points(spark, sf), fx.cells(spark, sf), cell_size=1.0,
                                   max_vertices=0).select("point_id", "polygon_id")
 
 
+@check("jon_04_match_polygons_any_ids", f"""WITH {fx.POINTS}, matched AS (SELECT point_id, min(polygon_id) AS polygon_id
+ FROM points LEFT JOIN cells ON x >= x0 AND x < x0 + side AND y >= y0 AND y < y0 + side GROUP BY point_id)
+ SELECT nullif(point_id % 3, 0) AS id, polygon_id, count(*) AS points FROM matched GROUP BY 1, 2""")
+def _(spark, sf):
+    # ids that repeat or are NULL
+    points = fx.points(spark, sf).withColumn("point_id", F.nullif(F.col("point_id") % 3, F.lit(0)))
+    found = spatial.match_polygons(points, fx.cells(spark, sf), cell_size=1.0)
+    return found.groupBy(F.col("point_id").alias("id"), "polygon_id").agg(F.count(F.lit(1)).alias("points"))
+
+
 @check("jon_04_match_footprints", f"""WITH {fx.FOOTPRINTS} SELECT site_id, polygon_id,
  CASE WHEN polygon_id IS NOT NULL THEN 0.64E0 END AS area FROM sites LEFT JOIN footprints
  ON x0 = CAST(floor(x) AS BIGINT) AND y0 = CAST(floor(y) AS BIGINT) AND x < x0 + 0.8 AND y < y0 + 0.8""")
 def _(spark, sf):
     shapes = fx.footprints(spark, sf).withColumn("area", F.round(g.polygon_area(F.col("rings")), 9))
-    found = spatial.match_polygons(fx.sites(spark, sf), shapes, "site_id", cell_size=1.0, carry=["area"])
+    found = spatial.match_polygons(fx.sites(spark, sf), shapes, cell_size=1.0, carry=["area"])
     return found.select("site_id", "polygon_id", "area")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -209,8 +207,7 @@ def _(spark, sf):
 
 @check("mod_11_penalty_sweep")
 def _(spark, sf):
-    rows = _folded(spark, sf, 3)
-    return models.penalty_sweep(partial(models.lasso, rows), [0.001, 0.0005, 0.0001], rows, folds=3)
+    return models.penalty_sweep(models.lasso, [0.001, 0.0005, 0.0001], _folded(spark, sf, 3), folds=3)
 
 
 @check("mod_12_batch_scoring", f"""WITH {fx.JOBS} SELECT count(*) AS rows, count(*) AS in_domain FROM jobs""")
@@ -222,8 +219,7 @@ def _(spark, sf):
 
     rows = fx.jobs(spark, sf).withColumns({
         "description": F.lit(""), "district_cat": F.col("district").cast("string")})
-    scored = models.score(load_model(f"{path}/best"), fill_categories(rows, list(fx.JOB_TABLE.categorical)),
-                          scoring_schema(fx.JOB_TABLE), 100.0, 1_000_000.0)
+    scored = models.score(load_model(f"{path}/best"), rows, scoring_schema(fx.JOB_TABLE), 100.0, 1_000_000.0)
     return scored.agg(F.count(F.lit(1)).alias("rows"),
                       F.count_if(F.col("prediction_cost").between(100.0, 1_000_000.0)).alias("in_domain"))
 

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Columns that say when rows were loaded or processed; they must not decide between equal versions.
+STAMPS = ("_ingested_at", "ingested_at", "_processed_at", "processed_at")
+
+
 def _full_order(df: DataFrame, newest: list[str]) -> list[Column]:
-    """Named columns first; rows equal in all of them are ordered by a hash of the whole row.
+    """Named columns first; rows equal in all of them are ordered by a hash of the row without its stamps.
 
-    The hash is the same on every run and under every partitioning, and costs far less to
-    sort by than the columns themselves.
+    The hash is the same on every run, on every load date and under every partitioning, and
+    costs far less to sort by than the columns themselves.
     """
-    hashed = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    hashed = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant") and f.name not in STAMPS]
     return [*[F.col(c).desc_nulls_last() for c in newest], F.xxhash64(*hashed).desc()]
 
 

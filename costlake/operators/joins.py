@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlake.session import settle
 
-# A table of at most this many (narrow) rows may be broadcast.
+# A table of at most this many rows and bytes may be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64_000_000
 
 
 def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
@@ -22,29 +23,36 @@ def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a computed table may be broadcast: few rows, and few bytes written as text."""
+    if table.limit(max_rows + 1).count() > max_rows:
+        return False
+    size = table.agg(F.sum(F.length(F.to_json(F.struct(*table.columns))))).first()[0]
+    return (size or 0) <= max_bytes
+
+
 def lookup_join(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
-                null_safe: bool = False, max_rows: int = BROADCAST_ROWS,
-                weight: Column | None = None) -> DataFrame:
+                null_safe: bool = False, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``df`` with a derived table that is usually small.
 
-    The table is computed once and measured. Up to ``max_rows`` rows (or units of
-    ``weight`` when rows vary in size) it is broadcast and ``df`` is not shuffled;
-    above that it is an ordinary shuffle join, where adaptive execution splits hot keys.
+    The table is computed once and measured. If it is small (:func:`is_small`) it is broadcast
+    and ``df`` is not shuffled; else it is an ordinary shuffle join, where adaptive execution
+    splits hot keys.
     """
     table = settle(table)
-    if weight is None:
-        small = table.limit(max_rows + 1).count() <= max_rows
-    else:
-        small = (table.agg(F.sum(weight)).first()[0] or 0) <= max_rows
+    small = is_small(table, max_rows)
     return key_join(df, F.broadcast(table) if small else table, keys, how, null_safe)
 
 
 def inflation_adjust(df: DataFrame, index: DataFrame, amount: str, year: str, target_year: int,
                      out: str, index_year: str = "year", index_value: str = "index") -> DataFrame:
-    """``amount * index[target_year] / index[year]``; NULL where the year has no index."""
+    """``amount * index[target_year] / index[year]``; NULL where the year has no index.
+
+    Of several index rows for a year the largest value counts.
+    """
     target = index.filter(F.col(index_year) == target_year).agg(F.max(index_value)).scalar()
-    factors = index.select(F.col(index_year).cast("int").alias(year),
-                           F.try_divide(target, F.col(index_value)).alias("__factor"))
+    yearly = index.groupBy(F.col(index_year).cast("int").alias(year)).agg(F.max(index_value).alias("__value"))
+    factors = yearly.select(year, F.try_divide(target, F.col("__value")).alias("__factor"))
     return (lookup_join(df, factors, [year])
             .withColumn(out, F.col(amount) * F.col("__factor")).drop("__factor"))
 
@@ -55,13 +63,15 @@ def geocode(df: DataFrame, gazetteer: DataFrame, address: str, fallback_address:
     """Coordinates by full address, else by the address without its suffix.
 
     Rows that match neither keep NULL coordinates; see :func:`with_coordinates`.
-    The gazetteer must hold one row per address.
+    Of several gazetteer rows for an address the one with the least coordinates counts.
     """
+    found = F.min(F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
+    unique = settle(gazetteer.groupBy(F.col(gazetteer_address).alias("__address")).agg(found.alias("__place")))
+    small = is_small(unique, max_rows)
     out = df
     for key, tag in ((address, "1"), (fallback_address, "2")):
-        places = gazetteer.select(F.col(gazetteer_address).alias(key),
-                                  F.struct(F.col(x).alias("x"), F.col(y).alias("y")).alias(f"__p{tag}"))
-        out = lookup_join(out, places, [key], max_rows=max_rows)
+        places = unique.select(F.col("__address").alias(key), F.col("__place").alias(f"__p{tag}"))
+        out = key_join(out, F.broadcast(places) if small else places, [key], "left", null_safe=False)
     place = F.coalesce(F.col("__p1"), F.col("__p2"))
     return out.withColumns({x: place["x"], y: place["y"]}).drop("__p1", "__p2")
 

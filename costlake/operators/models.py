@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import itertools
 import math
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
@@ -14,9 +15,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from costlake.functions.features import amount_from_log10
+from costlake.operators.cleaning import fill_categories
 from costlake.operators.metrics import fold_scores
 from costlake.operators.quantiles import DEFAULT_ACCURACY, quantiles_row
 from costlake.session import settle
@@ -25,9 +27,11 @@ from costlake.session import settle
 
 
 def ridge_log_cost(label: str = "label", penalty: float = 0.05, iterations: int = 80,
-                   solver: str = "auto") -> LinearRegression:
-    """Ridge on the log target. ``auto`` solves up to 4096 features in one pass over the rows and
-    iterates with l-bfgs beyond that."""
+                   solver: str = "l-bfgs") -> LinearRegression:
+    """Ridge on the log target, solved the same way at every width so that models can be compared.
+
+    Ask for ``normal`` (one pass over the rows, up to 4,096 features) where that is not needed.
+    """
     return LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction",
                             solver=solver, maxIter=iterations, regParam=penalty, elasticNetParam=0.0,
                             standardization=True)
@@ -117,12 +121,13 @@ def quadratic_width(size: int) -> int:
 
 
 def fit_quadratic_ridge(train: DataFrame, features: str, size: int, label: str = "label",
-                        alpha: float = 0.5, gamma: float = 0.05, coef0: float = 1.0):
+                        alpha: float = 0.5, gamma: float = 0.05, coef0: float = 1.0, solver: str = "normal"):
     """Degree-2 polynomial kernel ridge solved in feature space, never as an n x n kernel.
 
     The penalty enters as one extra row per dimension (``sqrt(alpha)`` on that dimension,
     label 0), which is the same least-squares problem. Returns the fitted model; score with
-    ``model.transform(quadratic_features(...))``.
+    ``model.transform(quadratic_features(...))``. The ``normal`` solver is exact and takes up to
+    4,096 dimensions (88 features); ask for ``l-bfgs``, which iterates, beyond that.
     """
     width = quadratic_width(size)
     mapped = quadratic_features(train, features, size, gamma, coef0).select(
@@ -131,10 +136,9 @@ def fit_quadratic_ridge(train: DataFrame, features: str, size: int, label: str =
                        lambda j: F.when(j == F.col("id"), math.sqrt(alpha)).otherwise(0.0))
     penalty = train.sparkSession.range(width).select(
         array_to_vector(axes).alias("quadratic"), F.lit(0.0).alias(label))
-    solver = LinearRegression(featuresCol="quadratic", labelCol=label, fitIntercept=False, regParam=0.0,
-                              standardization=False, solver="normal" if width <= 4096 else "l-bfgs",
-                              maxIter=500, tol=1e-10)
-    return solver.fit(mapped.unionByName(penalty))
+    regression = LinearRegression(featuresCol="quadratic", labelCol=label, fitIntercept=False, regParam=0.0,
+                                  standardization=False, solver=solver, maxIter=500, tol=1e-10)
+    return regression.fit(mapped.unionByName(penalty))
 
 
 # ------------------------------------------------------------ baseline, scoring
@@ -170,7 +174,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def score(model: PipelineModel, df: DataFrame, schema: StructType, low: float, high: float) -> DataFrame:
-    return with_amounts(model.transform(conform(df, schema)), low, high)
+    """Predictions of a saved pipeline; missing categories take the slot they have in training."""
+    categories = [f.name for f in schema if f.nullable and isinstance(f.dataType, StringType)]
+    rows = fill_categories(conform(df, schema), categories)
+    return with_amounts(model.transform(rows), low, high)
 
 
 # -------------------------------------------------------- comparison and search
@@ -185,15 +192,19 @@ def compare(models: dict[str, Estimator], train: DataFrame, rows: DataFrame,
     return fitted, reduce(DataFrame.unionByName, scored)
 
 
-def cross_validated(models: dict[str, Estimator], df: DataFrame, label: str = "label",
-                    fold: str = "fold", folds: int = 4, predictions: bool = False) -> DataFrame:
-    """Scores per model and fold, each fold predicted by a model fitted on the others."""
+def cross_validated(models: dict[str, Estimator | Callable[[DataFrame], Estimator]], df: DataFrame,
+                    label: str = "label", fold: str = "fold", folds: int = 4, predictions: bool = False) -> DataFrame:
+    """Scores per model and fold, each fold predicted by a model fitted on the others.
+
+    A model is an estimator, or a function that makes one from the rows it is to be fitted on.
+    """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scored = []
         for name, estimator in models.items():
             for i in range(folds):
-                model = estimator.fit(cached.filter(F.col(fold) != i))
+                train = cached.filter(F.col(fold) != i)
+                model = (estimator if isinstance(estimator, Estimator) else estimator(train)).fit(train)
                 scored.append(model.transform(cached.filter(F.col(fold) == i)).select(
                     F.lit(name).alias("model"), F.col(fold), F.col(label), "prediction"))
         stacked = reduce(DataFrame.unionByName, scored)
@@ -225,10 +236,14 @@ def grid_search(estimator: Estimator, grid: dict, df: DataFrame, label: str = "l
 
 def penalty_sweep(make, alphas: list[float], df: DataFrame, label: str = "label", fold: str = "fold",
                   folds: int = 5) -> DataFrame:
-    """Mean cross-validated RMSE per penalty. ``make(alpha)`` builds the estimator."""
+    """Mean cross-validated RMSE per penalty.
+
+    ``make(train, alpha=...)`` (:func:`ridge` or :func:`lasso`) builds the estimator anew from the
+    rows of each fold's training side, whose size and spread scale the penalty.
+    """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = {repr(float(a)): make(a) for a in alphas}
+        models = {repr(float(a)): partial(make, alpha=a) for a in alphas}
         scores = cross_validated(models, df, label, fold, folds)
     finally:
         cached.unpersist()

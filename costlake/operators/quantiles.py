@@ -91,7 +91,9 @@ def _narrowed(rows: DataFrame, targets: DataFrame, keys: list[str], bucket: Colu
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
                     interpolate: bool = False, sort_rows: int = SORT_ROWS) -> DataFrame:
-    """Rows ``keys..., probability, quantile`` with exact quantiles of the non-NULL values.
+    """Rows ``keys..., probability, quantile`` with exact quantiles of the non-NULL values, as doubles.
+
+    Infinities count as they are; NaN is the largest value, as in the sketch and in Spark's order.
 
     ``interpolate`` gives the linearly interpolated quantile (the pandas default); otherwise
     the smallest value whose cumulative share reaches the probability.
@@ -102,10 +104,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     one. The steps run when this is called; each reads only the keys and the value.
     """
     keys = list(keys or [])
-    v = F.col(value).cast("double")
     largest = F.lit(sys.float_info.max)
-    rows = df.filter(v.isNotNull() & ~F.isnan(v)).select(
-        *keys, F.greatest(-largest, F.least(largest, v)).alias("v"))
+    rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
 
     n, p = F.col("n"), F.col("probability")
@@ -117,8 +117,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         *keys, "lo", "hi", "n", "which", (F.col("position") - F.floor("position")).alias("fraction"),
         F.posexplode(F.array(F.floor("position"), F.ceil("position"))).alias("part", "rank"))
     targets = _pinned(targets, keys)
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor(
-        F.try_divide(F.col("v") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS))
+    low, high = (F.greatest(-largest, F.least(largest, F.col(c))) / 2 for c in ("lo", "hi"))
+    finite = F.least(F.lit(BUCKETS - 1), F.floor(F.try_divide(F.col("v") / 2 - low, high - low) * BUCKETS))
+    # values beyond the finite ones have buckets of their own
+    bucket = (F.when(F.col("v") < -largest, -1).when(F.isnan("v"), BUCKETS + 1)
+              .when(F.col("v") > largest, BUCKETS).otherwise(finite))
     while (targets.filter("lo < hi").agg(F.max("n")).first()[0] or 0) > sort_rows:
         targets = _pinned(_narrowed(rows, targets, keys, F.coalesce(bucket, F.lit(0))), keys)
     values = _narrowed(rows, targets, keys, F.col("v"))
@@ -126,8 +129,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         F.max(F.when(F.col("part") == 0, F.col("lo"))).alias("first"),
         F.max(F.when(F.col("part") == 1, F.col("lo"))).alias("second"), F.max("fraction").alias("fraction"))
     labels = F.array(*[F.lit(float(p)) for p in probs])
-    return pairs.select(*keys, labels[F.col("which")].alias("probability"),
-                        (F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")).alias("quantile"))
+    # between two infinities, or at a rank itself, there is nothing to interpolate
+    between = F.col("first") + (F.col("second") - F.col("first")) * F.col("fraction")
+    quantile = F.when((F.col("fraction") == 0) | (F.col("first") == F.col("second")), F.col("first")).otherwise(between)
+    return pairs.select(*keys, labels[F.col("which")].alias("probability"), quantile.alias("quantile"))
 
 
 def exact_quantiles_wide(df: DataFrame, value: str, probs: list[float], names: list[str],

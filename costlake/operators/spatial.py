@@ -22,7 +22,7 @@ def _polygon_cells(polygons: DataFrame, rings: str, cell_size: float) -> DataFra
     cells are just as wide as its box, so it touches at most four cells however large it is,
     and a cell holds few polygons however small they are.
     """
-    box = g.ring_bounds(F.col(rings)[0])
+    box = g.ring_bounds(F.get(F.col(rings), F.lit(0)))
     boxed = polygons.withColumns({f"__{n}": c for n, c in box.items()})
     side = F.greatest(F.col("__max_x") - F.col("__min_x"), F.col("__max_y") - F.col("__min_y"))
     level = F.ceil(F.log2(side / F.lit(float(cell_size)))).cast("int")
@@ -41,15 +41,15 @@ def _step(level: Column, cell_size: float) -> Column:
     return F.lit(float(cell_size)) * F.pow(F.lit(2.0), level)
 
 
-def match_polygons(points: DataFrame, polygons: DataFrame, point_id: str, x: str = "x", y: str = "y",
+def match_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",
                    polygon_id: str = "polygon_id", rings: str = "rings", cell_size: float = 0.001,
-                   carry: list[str] | None = None, salts: int = 8,
-                   max_vertices: int = BROADCAST_VERTICES) -> DataFrame:
+                   carry: list[str] | None = None, max_vertices: int = BROADCAST_VERTICES) -> DataFrame:
     """Attach to each point the first polygon (lowest id) that contains it, else NULL.
 
-    Points meet polygons on grid cells. A small polygon table is broadcast; a large one is
-    shuffled, with the points of a crowded cell spread over ``salts`` tasks.
-    ``carry`` names polygon columns (an area, say) to bring along.
+    Distinct places meet polygons on grid cells, so a crowded spot is one row and points need no
+    id. A small polygon table is broadcast; a large one is shuffled, and adaptive execution splits
+    cells with many places. ``carry`` names polygon columns (an area, say) to bring along. Points
+    without coordinates match nothing.
     """
     carry = list(carry or [])
     cells = settle(_polygon_cells(polygons.select(polygon_id, rings, *carry), rings, cell_size))
@@ -59,22 +59,17 @@ def match_polygons(points: DataFrame, polygons: DataFrame, point_id: str, x: str
     total = cells.agg(F.sum(vertices)).first()[0] or 0
     keys = ["__level", "__cx", "__cy"]
 
-    probe = points.select(point_id, F.col(x).alias("__x"), F.col(y).alias("__y"))
+    probe = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
     probe = probe.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels])
                                                   if levels else F.array().cast("array<int>")))
     step = _step(F.col("__level"), cell_size)
     probe = probe.withColumns({"__cx": F.floor(F.col("__x") / step), "__cy": F.floor(F.col("__y") / step)})
     if total <= max_vertices:
         cells = F.broadcast(cells)
-    else:
-        probe = probe.withColumn("__salt", F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("int"))
-        cells = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys.append("__salt")
     inside = g.polygon_contains(F.col(rings), F.col("__x"), F.col("__y"))
-    hits = probe.join(cells, keys).filter(inside).groupBy(point_id)
-    if not carry:
-        return points.join(hits.agg(F.min(polygon_id).alias(polygon_id)), [point_id], "left")
-    matched = points.join(hits.agg(F.min(F.struct(polygon_id, *carry)).alias("__hit")), [point_id], "left")
+    hits = probe.join(cells, keys).filter(inside).groupBy(F.col("__x").alias(x), F.col("__y").alias(y))
+    first = hits.agg(F.min(F.struct(polygon_id, *carry)).alias("__hit"))
+    matched = points.join(first, [x, y], "left").select(*points.columns, "__hit")
     return matched.withColumns({c: F.col("__hit")[c] for c in [polygon_id, *carry]}).drop("__hit")
 
 

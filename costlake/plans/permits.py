@@ -29,7 +29,7 @@ class CostTable:
     categorical: tuple[str, ...]
     numeric: tuple[str, ...]
     text: str
-    profiles: dict[str, tuple[tuple[str, ...], int | None]] = field(default_factory=dict)
+    profiles: dict[str, tuple[tuple[str, ...], tuple[str, ...], int | None]] = field(default_factory=dict)
     scale_averages: dict[str, str] = field(default_factory=dict)
 
 
@@ -84,13 +84,13 @@ PERMITS = CostTable(
         "number_of_proposed_stories", "story_change", "existing_units", "proposed_units",
         "unit_change", "is_adu", "is_site_permit", "is_reroof"),
     text="description",
-    # report name -> (group columns, rows kept by size or None for all in key order)
+    # report name -> (group columns, those that must not be NULL, rows kept by size or None for all)
     profiles={
-        "target_source": (("target_source",), None),
-        "permit_types_top20": (("permit_type", "permit_type_definition"), 20),
-        "annual_trend": (("permit_creation_year",), None),
-        "neighborhoods_top20": (("neighborhoods_analysis_boundaries",), 20),
-        "zipcodes_top20": (("zipcode",), 20),
+        "target_source": (("target_source",), (), None),
+        "permit_types_top20": (("permit_type", "permit_type_definition"), ("permit_type_definition",), 20),
+        "annual_trend": (("permit_creation_year",), ("permit_creation_year",), None),
+        "neighborhoods_top20": (("neighborhoods_analysis_boundaries",), ("neighborhoods_analysis_boundaries",), 20),
+        "zipcodes_top20": (("zipcode",), ("zipcode",), 20),
     },
     scale_averages={
         "avg_existing_stories": "number_of_existing_stories",
@@ -111,8 +111,12 @@ TEST_FROM = 2025
 
 
 def scoring_schema(table: CostTable = PERMITS) -> StructType:
-    """Input of batch scoring: categories, numbers, text; year, month and text are required."""
-    doubles = {"number_of_existing_stories", "number_of_proposed_stories", "story_change"}
+    """Input of batch scoring: categories, numbers, text; year, month and text are required.
+
+    Amounts and their differences are doubles, as in the feature layer; other numbers are integers.
+    """
+    doubles = set(table.types.amounts)
+    doubles |= {name for name, pair in table.differences.items() if doubles & set(pair)}
     required = {table.year, table.month}
     fields = [StructField(c, StringType(), True) for c in table.categorical]
     fields += [StructField(c, DoubleType() if c in doubles else IntegerType(), c not in required)

@@ -17,10 +17,11 @@ THRESHOLDS = (10, 100, 500, 1_000, 5_000, 10_000, 50_000, 100_000, 500_000)
 def group_reports(ready: DataFrame, table: CostTable = PERMITS, value: str = "target_cost",
                   accuracy: int = quantiles.DEFAULT_ACCURACY) -> dict[str, DataFrame]:
     out = {}
-    for name, (keys, top) in table.profiles.items():
+    for name, (keys, present, top) in table.profiles.items():
         if not set(keys) <= set(ready.columns):
             continue
-        found = profile.group_profile(ready, list(keys), value, accuracy, keep_null_keys=top is None)
+        rows = ready.dropna(subset=list(present)) if present else ready
+        found = profile.group_profile(rows, list(keys), value, accuracy)
         out[name] = found if top is None else ranking.top_rows(found, "projects", top, list(keys))
     return out
 
@@ -52,8 +53,8 @@ def summary_sections(ready: DataFrame, table: CostTable = PERMITS, value: str =
 def write_reports(ready: DataFrame, out: str, table: CostTable = PERMITS) -> None:
     reports.write_summary_json(summary_sections(ready, table), f"{out}/summary")
     for name, report in group_reports(ready, table).items():
-        keys, top = table.profiles[name]
-        order = list(keys) if top is None else [F.desc("projects"), *keys]
+        keys = table.profiles[name][0]
+        order = list(keys) if table.year in keys else [F.desc("projects"), *keys]
         reports.write_report_csv(report, f"{out}/{name}", order)
 
 

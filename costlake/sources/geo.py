@@ -26,7 +26,7 @@ def simple_polygons(features: DataFrame, id_property: str) -> DataFrame:
     """
     xy = F.from_json(F.col("geometry.coordinates"), "array<array<array<double>>>")
     rings = F.transform(xy, lambda ring: F.transform(
-        ring, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
+        ring, lambda v: F.struct(F.get(v, F.lit(0)).alias("x"), F.get(v, F.lit(1)).alias("y"))))
     return (features.filter(F.col("geometry.type") == "Polygon")
             .select(F.col("properties")[id_property].alias("polygon_id"), rings.alias("rings")))
 

@@ -40,7 +40,7 @@ def test_grid_match_equals_brute_force_with_a_crowded_cell(spark):
     table = spark.createDataFrame([(k, [[(float(a), float(b)) for a, b in ring] for ring in rings]) for k, rings in enumerate(polygons)],
                                   f"polygon_id int, rings array<{g.RING_TYPE}>")
     for vertices in (10**6, 0):
-        out = spatial.match_polygons(pts, table, "id", cell_size=0.1, max_vertices=vertices)
+        out = spatial.match_polygons(pts, table, cell_size=0.1, max_vertices=vertices)
         assert {r["id"]: r["polygon_id"] for r in out.collect()} == want
 
 
