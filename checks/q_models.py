@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -89,10 +91,10 @@ def _(spark, sf):
     return out.select("record_id", "prediction_cost", F.round("prediction", 6).alias("prediction"))
 
 
-def _line_items(spark, sf):
+def _line_items(spark, sf, *keep):
     """One feature against the price, on scales of about one."""
     rows = fx.table(spark, sf, "lineitem").select(
-        (F.col("l_quantity") / 10).alias("x"), (F.col("l_extendedprice") / 10000).alias("label"))
+        (F.col("l_quantity") / 10).alias("x"), (F.col("l_extendedprice") / 10000).alias("label"), *keep)
     return VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
 
 
@@ -205,9 +207,25 @@ def _(spark, sf):
     return table
 
 
-@check("mod_11_penalty_sweep")
+# The penalties that are compared.
+LASSO_PENALTIES = [0.001, 0.0005, 0.0001, 0.00005]
+RIDGE_PENALTIES = [0.05, 0.1, 0.3, 1.0, 3.0, 5.0, 10.0, 15.0, 30.0, 50.0, 75.0]
+
+
+# with one feature the slope of every fold has a closed form: soft threshold for the lasso, shrunken for ridge
+@check("mod_11_penalty_sweep", f"""WITH l AS (SELECT l_quantity / 10 AS x, l_extendedprice / 10000 AS y, l_orderkey % 5 AS fold FROM lineitem),
+ f AS (SELECT k, count(*) AS n, covar_pop(y, x) AS c, var_pop(x) AS v, avg(x) AS mx, avg(y) AS my
+  FROM l JOIN range(5) r(k) ON fold <> k GROUP BY k),
+ p AS (SELECT 'lasso' AS model, unnest({LASSO_PENALTIES}::DOUBLE[]) AS alpha UNION ALL SELECT 'ridge', unnest({RIDGE_PENALTIES}::DOUBLE[])),
+ m AS (SELECT model, alpha, k, mx, my, CASE model WHEN 'lasso' THEN sign(c) * greatest(abs(c) - alpha, 0) / v
+  ELSE c / (v + alpha / n) END AS b FROM f, p),
+ e AS (SELECT model, alpha, k, sqrt(avg(pow(y - my - b * (x - mx), 2))) AS rmse FROM m JOIN l ON fold = k GROUP BY model, alpha, k)
+ SELECT model, alpha, round(avg(rmse), 5) AS rmse FROM e GROUP BY model, alpha""")
 def _(spark, sf):
-    return models.penalty_sweep(models.lasso, [0.001, 0.0005, 0.0001], _folded(spark, sf, 3), folds=3)
+    rows = _line_items(spark, sf, (F.col("l_orderkey") % 5).cast("int").alias("fold"))
+    found = [models.penalty_sweep(partial(make, tolerance=1e-9), alphas, rows, folds=5).withColumn("model", F.lit(name))
+             for name, make, alphas in (("lasso", models.lasso, LASSO_PENALTIES), ("ridge", models.ridge, RIDGE_PENALTIES))]
+    return found[0].unionByName(found[1]).select("model", "alpha", F.round("rmse", 5).alias("rmse"))
 
 
 @check("mod_12_batch_scoring", f"""WITH {fx.JOBS} SELECT count(*) AS rows, count(*) AS in_domain FROM jobs""")
