@@ -106,16 +106,18 @@ def repeated_keys(rows: DataFrame, keys, hot: int) -> DataFrame:
 
     ``keys(batches)`` yields (h, x, rid) records, x being a hash of the content. A key is of kind UNIFORM if all
     its contents are the same, CROWDED if it has more than ``hot`` different ones, else MIXED. Keys are
-    counted on their own first, so the rows of unique keys travel once.
+    counted on their own first, so the rows of unique keys travel once. Groups are written before they meet the rows
+    again, as adaptive execution splits a hot key only in a join whose sides come straight from a shuffle.
     """
     made = rows.select("rid", "text").mapInArrow(keys, "h bigint, x bigint, rid bigint")
     same = F.when(F.col("low") == F.col("high"), UNIFORM).otherwise(MIXED)
     groups = (made.groupBy("h").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
               .filter("n > 1").select("h", "n", same.cast("tinyint").alias("kind")))
-    again = stow(made.join(groups, "h"), "repeated-keys")
+    again = stow(made.join(stow(groups, "sketch-groups"), "h"), "repeated-keys")
     # only a key with very many rows can have very many contents; there are few such keys
     large = again.filter((F.col("n") > hot) & (F.col("kind") == MIXED)).groupBy("h", "x").agg(F.count("*").alias("n"))
     large = large.groupBy("h").agg(F.count("*").alias("contents")).filter(F.col("contents") > hot).select("h", F.lit(True).alias("large"))
+    large = stow(large, "crowded-keys")
     kind = F.when(F.col("large"), CROWDED).otherwise(F.col("kind")).cast("tinyint").alias("kind")
     found = again.select("h", "rid", "kind").join(large, "h", "left").groupBy("rid").agg(F.collect_set(F.struct("h", kind)).alias("found"))
     return stow(found, "repeated-keys")
