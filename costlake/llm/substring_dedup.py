@@ -276,24 +276,30 @@ def least_shared(width: int, similarity: float) -> int:
     return int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9))
 
 
+def _held(mine: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of ``mine`` are in ``ordered``."""
+    return ordered[np.minimum(np.searchsorted(ordered, mine), len(ordered) - 1)] == mine
+
+
 def nearest(mine: np.ndarray, centre: int, other: np.ndarray, its_centre: int, width: int, similarity: float) -> tuple[int, int] | None:
     """(first, last) beginnings of ``mine``'s passages that are near-duplicates of one of ``other``'s, or None."""
     need = least_shared(width, similarity)
-    both = np.isin(mine, other)
-    total = np.concatenate([[0], np.cumsum(both)])
-    shared = total[width:] - total[:-width]
-    if shared.max(initial=0) < need:
+    total = np.concatenate([[0], np.cumsum(_held(mine, np.sort(other)))])
+    some = np.flatnonzero(total[width:] - total[:-width] >= need).tolist()
+    if not some:
         return None
-    back = np.concatenate([[0], np.cumsum(np.isin(other, mine))])
+    back = np.concatenate([[0], np.cumsum(_held(other, np.sort(mine)))])
     its = int(np.argmax(back[width:] - back[:-width]))
-    good = []
-    for i in np.flatnonzero(shared >= need).tolist():
-        shift = min(max(i - centre + its_centre, 0), len(other) - width)  # the same place beside the centre, or the best one
-        passage = set(mine[i:i + width].tolist())
-        for j in (shift, its):
-            theirs = set(other[j:j + width].tolist())
-            common = len(passage & theirs)
-            if common >= similarity * (len(passage) + len(theirs) - common):
-                good.append(i)
-                break
-    return (good[0], good[-1]) if good else None
+    ours, theirs = mine.tolist(), other.tolist()
+
+    def good(i: int) -> bool:
+        passage = set(ours[i:i + width])
+        for j in (min(max(i - centre + its_centre, 0), len(theirs) - width), its):  # the same place beside the centre, or the best one
+            facing = set(theirs[j:j + width])
+            common = len(passage & facing)
+            if common >= similarity * (len(passage) + len(facing) - common):
+                return True
+        return False
+
+    first = next((i for i in some if good(i)), None)
+    return None if first is None else (first, next(i for i in reversed(some) if good(i)))
