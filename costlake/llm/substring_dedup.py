@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, mix, record, texts
+from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, mix, record, stow, texts
 from costlake.llm.suffix_dedup import CROWDED, MIXED, SLICE, UNIFORM, Rolling, repeated_keys, sliding_min
 
 #: Words of a shingle and of a passage; the least similarity of near-duplicates.
@@ -28,6 +28,10 @@ SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 FUNCTIONS, ENOUGH = 3, 2
 #: Unlike contents beyond which a hash is resolved by exact passages.
 HOT = 4096
+#: Representatives that are compared one by one; of more, those that share shingles are looked up.
+FEW = 3
+#: Contents that a task remembers to have sent before it forgets them all.
+RECENT_CONTENTS = 100_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -136,18 +140,20 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     found = repeated_keys(rows, keys, hot)
     met = rows.join(found, "rid").select("rid", "kb", "id", "text", "found")
-    fields = "h bigint, x bigint, kind tinyint, content binary, centre int, low int, size int"
-    seen = met.mapInArrow(_emit(width, arrow_type(docs.schema[id_col].dataType)), f"id {docs.schema[id_col].dataType.simpleString()}, rid bigint, kb bigint, " + fields)
-    contents = seen.filter(F.col("kind") == MIXED).groupBy("h", "x", "content", "centre").agg(F.count("*").alias("n"))
+    kind = docs.schema[id_col].dataType
+    fields = "h bigint, x bigint, kind tinyint, low int, size int"
+    seen = f"id {kind.simpleString()}, rid bigint, kb bigint, {fields}"
+    contents = met.mapInArrow(_contents(width), "h bigint, x bigint, content binary, centre int")
     judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(
         _verify(width, similarity), "h bigint, x bigint, first int, last int, class_id bigint")
     whole = (F.lit(0).alias("first"), (F.col("size") - width).alias("last"), F.xxhash64("h", "x").alias("class_id"))
-    slim = seen.filter(F.col("kind") != CROWDED).select("id", "rid", "kb", "h", "x", "kind", "low", "size")
+    slim = met.mapInArrow(_emit(width, (UNIFORM, MIXED), arrow_type(kind)), seen)
     known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
     known = known.filter((F.col("kind") == UNIFORM) | F.col("of").isNotNull()).select("id", "rid", "kb", "low", "from", "to", "of", *whole)
     spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
-    if not found.filter(F.exists("found", lambda f: f["kind"] == CROWDED)).isEmpty():
-        exact = seen.filter(F.col("kind") == CROWDED)
+    crowded = F.exists("found", lambda f: f["kind"] == CROWDED)
+    if not found.filter(crowded).isEmpty():
+        exact = stow(met.filter(crowded).mapInArrow(_emit(width, (CROWDED,), arrow_type(kind)), seen), "exact-passages")
         again = exact.groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
         spans = spans.unionByName(exact.join(again, ["h", "x"]).select("id", "rid", "kb", "low", *whole))
     spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
@@ -166,41 +172,67 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.class_id").alias("class_id"))
 
 
-def _emit(width: int, id_type: pa.DataType):
-    """The windows of a row that have a partner, where enough functions say so."""
+def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int, kinds: tuple[int, ...]):
+    """(shingles, text, c, low, high, h, x, kind) of the windows of these kinds, where enough functions find a partner."""
+    shingles, text, centre, low, high, h, x, function = windows(data, offsets, width)
+    kind = _kinds(batch, text, h)
+    of = kind >= 0
+    text, centre, low, high, h, x, function, kind = (c[of] for c in (text, centre, low, high, h, x, function, kind))
+    # passages begin in low..high - width + 1; count the functions that have a partner for each beginning
+    agree = np.zeros(len(shingles.hashes) + 1, np.int16)
+    for f in range(FUNCTIONS):
+        edges = np.zeros(len(agree) + 1, np.int32)
+        np.add.at(edges, low[function == f], 1)
+        np.add.at(edges, high[function == f] - width + 2, -1)
+        agree += np.cumsum(edges[:-1]) > 0
+    enough = np.concatenate([[0], np.cumsum(agree >= ENOUGH)])
+    of = (enough[high - width + 2] > enough[low]) & np.isin(kind, kinds)
+    return shingles, *(c[of] for c in (text, centre, low, high, h, x, kind))
+
+
+def _contents(width: int):
+    """The contents of mixed windows; a task sends one at most twice while it remembers, as twice means repeated."""
+    schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("content", pa.binary()), ("centre", pa.int32())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, int] = {}
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
+            shingles, _, centre, low, high, h, x, _ = _partnered(batch, data, offsets, width, (MIXED,))
+            if len(sent) > RECENT_CONTENTS:
+                sent = {}
+            new = []
+            for at, key in enumerate(zip(h.tolist(), x.tolist())):
+                times = sent.get(key, 0)
+                if times < 2:
+                    sent[key] = times + 1
+                    new.append(at)
+            centre, low, high, h, x = (c[new] for c in (centre, low, high, h, x))
+            small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
+            content = [small[a:b].tobytes() for a, b in zip(low.tolist(), (high + 1).tolist())]
+            if content:
+                yield record(schema, h.view(np.int64), x.view(np.int64), content, (centre - low).astype(np.int32))
+
+    return run
+
+
+def _emit(width: int, kinds: tuple[int, ...], id_type: pa.DataType):
+    """The windows of these kinds; of crowded hashes every exact passage."""
     schema = pa.schema([("id", id_type), ("rid", pa.int64()), ("kb", pa.int64()), ("h", pa.int64()), ("x", pa.int64()), ("kind", pa.int8()),
-                        ("content", pa.binary()), ("centre", pa.int32()), ("low", pa.int32()), ("size", pa.int32())])
+                        ("low", pa.int32()), ("size", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            shingles, text, centre, low, high, h, x, function = windows(data, offsets, width)
-            kind = _kinds(batch, text, h)
-            of = kind >= 0
-            text, centre, low, high, h, x, function, kind = (c[of] for c in (text, centre, low, high, h, x, function, kind))
-            # passages begin in low..high - width + 1; count the functions that have a partner for each beginning
-            agree = np.zeros(len(shingles.hashes) + 1, np.int16)
-            for f in range(FUNCTIONS):
-                edges = np.zeros(len(agree) + 1, np.int32)
-                np.add.at(edges, low[function == f], 1)
-                np.add.at(edges, high[function == f] - width + 2, -1)
-                agree += np.cumsum(edges[:-1]) > 0
-            enough = np.concatenate([[0], np.cumsum(agree >= ENOUGH)])
-            of = enough[high - width + 2] > enough[low]
-            text, centre, low, high, h, x, kind = (c[of] for c in (text, centre, low, high, h, x, kind))
-            crowded = kind == CROWDED
-            if crowded.any():  # one record for every exact passage
-                count = np.where(crowded, high - low - width + 2, 1)
+            shingles, text, _, low, high, h, x, kind = _partnered(batch, data, offsets, width, kinds)
+            if CROWDED in kinds:  # one record for every exact passage
+                count = high - low - width + 2
                 at = np.repeat(np.arange(len(text)), count)
-                shift = np.where(crowded[at], np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count), 0)
-                text, centre, h, kind, low = text[at], centre[at], h[at], kind[at], low[at] + shift
-                high = np.where(crowded[at], low + width - 1, high[at])
-                x = np.where(crowded[at], mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low]), x[at])
-            small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
-            content = [small[a:b].tobytes() if k == MIXED else None for a, b, k in zip(low.tolist(), (high + 1).tolist(), kind.tolist())]
+                text, h, kind, low = text[at], h[at], kind[at], low[at] + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+                high = low + width - 1
+                x = mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low])
             rid, kb = (batch.column(i).to_numpy(zero_copy_only=False)[text] for i in (0, 1))
             if len(text):
-                yield record(schema, batch.column(2).take(pa.array(text)), rid, kb, h.view(np.int64), x.view(np.int64), kind.astype(np.int8), content,
-                             (centre - low).astype(np.int32), (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32))
+                yield record(schema, batch.column(2).take(pa.array(text)), rid, kb, h.view(np.int64), x.view(np.int64), kind.astype(np.int8),
+                             (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32))
 
     return run
 
@@ -225,20 +257,29 @@ def _verify(width: int, similarity: float):
 
     need = least_shared(width, similarity)
 
-    def judge(h: int, rows: list[tuple]) -> Iterator[tuple]:
+    def judge(h: int, rows: Iterable[tuple]) -> Iterator[tuple]:
         leaders: list[list] = []
         having: dict[int, list[int]] = {}  # the representatives that have a shingle
-        for x, content, centre, n in rows:
+        known = 0  # representatives in it
+        for x, same in itertools.groupby(rows, key=lambda r: r[1]):
+            _, _, content, centre = next(same)
+            n = 1 + sum(1 for _ in same)
             mine = np.frombuffer(content, np.uint32)
-            held = collections.Counter(mine.tolist())
-            of_all = held.pop(int(mine[centre]))  # every content of the hash has the centre
-            shared: dict[int, int] = {}
-            for shingle, times in held.items():
-                for which in having.get(shingle, ()):
-                    shared[which] = shared.get(which, of_all) + times
             hit = near = None
-            # fewer cannot be near; a content that repeats its centre so often may be near to any
-            some = range(len(leaders)) if of_all >= need else sorted(w for w, n_shared in shared.items() if n_shared >= need)
+            some: Iterable[int] = range(len(leaders))
+            if len(leaders) > FEW:
+                for which in range(known, len(leaders)):
+                    for shingle in set(leaders[which][1].tolist()):
+                        having.setdefault(shingle, []).append(which)
+                known = len(leaders)
+                held = collections.Counter(mine.tolist())
+                of_all = held.pop(int(mine[centre]))  # every content of the hash has the centre
+                shared: dict[int, int] = {}
+                for shingle, times in held.items():
+                    for which in having.get(shingle, ()):
+                        shared[which] = shared.get(which, of_all) + times
+                if of_all < need:  # fewer cannot be near; a content that repeats its centre so often may be near to any
+                    some = sorted(w for w, n_shared in shared.items() if n_shared >= need)
             for leader in [leaders[which] for which in some]:
                 near = nearest(mine, centre, leader[1], leader[2], width, similarity)
                 if near is not None:
@@ -246,8 +287,6 @@ def _verify(width: int, similarity: float):
                     break
             if hit is None:
                 name = int(mix(np.array([h ^ x], np.int64).view(np.uint64))[0].view(np.int64))
-                for shingle in held:
-                    having.setdefault(shingle, []).append(len(leaders))
                 leaders.append([x, mine, centre, name, n > 1])
                 if n > 1:
                     yield h, x, 0, len(mine) - width, name
@@ -265,7 +304,7 @@ def _verify(width: int, similarity: float):
                 yield from zip(*columns)
 
         for part in itertools.batched(itertools.chain.from_iterable(
-                judge(h, [r[1:] for r in group]) for h, group in itertools.groupby(all_rows(), key=lambda r: r[0])), 20_000):
+                judge(h, group) for h, group in itertools.groupby(all_rows(), key=lambda r: r[0])), 20_000):
             yield record(schema, *map(list, zip(*part)))
 
     return run
