@@ -141,19 +141,18 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = repeated_keys(rows, keys, hot)
     met = rows.join(found, "rid").select("rid", "kb", "id", "text", "found")
     kind = docs.schema[id_col].dataType
-    fields = "h bigint, x bigint, kind tinyint, low int, size int"
-    seen = f"id {kind.simpleString()}, rid bigint, kb bigint, {fields}"
-    contents = met.mapInArrow(_contents(width), "h bigint, x bigint, content binary, centre int")
+    fields = "rid bigint, kb bigint, h bigint, x bigint, kind tinyint, low int, size int, content binary, centre int"
+    seen = stow(met.mapInArrow(_emit(width, arrow_type(kind)), f"id {kind.simpleString()}, {fields}"), "seen-windows")
+    contents = seen.filter("content IS NOT NULL").select("h", "x", "content", "centre")
     judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(
         _verify(width, similarity), "h bigint, x bigint, first int, last int, class_id bigint")
     whole = (F.lit(0).alias("first"), (F.col("size") - width).alias("last"), F.xxhash64("h", "x").alias("class_id"))
-    slim = met.mapInArrow(_emit(width, (UNIFORM, MIXED), arrow_type(kind)), seen)
+    slim = seen.filter(F.col("kind") != CROWDED).select("id", "rid", "kb", "h", "x", "kind", "low", "size")
     known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
     known = known.filter((F.col("kind") == UNIFORM) | F.col("of").isNotNull()).select("id", "rid", "kb", "low", "from", "to", "of", *whole)
     spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
-    crowded = F.exists("found", lambda f: f["kind"] == CROWDED)
-    if not found.filter(crowded).isEmpty():
-        exact = stow(met.filter(crowded).mapInArrow(_emit(width, (CROWDED,), arrow_type(kind)), seen), "exact-passages")
+    exact = seen.filter(F.col("kind") == CROWDED).select("id", "rid", "kb", "h", "x", "low", "size")
+    if not exact.isEmpty():
         again = exact.groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
         spans = spans.unionByName(exact.join(again, ["h", "x"]).select("id", "rid", "kb", "low", *whole))
     spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
@@ -172,8 +171,8 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.class_id").alias("class_id"))
 
 
-def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int, kinds: tuple[int, ...]):
-    """(shingles, text, c, low, high, h, x, kind) of the windows of these kinds, where enough functions find a partner."""
+def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int):
+    """(shingles, text, c, low, high, h, x, kind) of the windows of which enough functions find a partner."""
     shingles, text, centre, low, high, h, x, function = windows(data, offsets, width)
     kind = _kinds(batch, text, h)
     of = kind >= 0
@@ -186,53 +185,45 @@ def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wid
         np.add.at(edges, high[function == f] - width + 2, -1)
         agree += np.cumsum(edges[:-1]) > 0
     enough = np.concatenate([[0], np.cumsum(agree >= ENOUGH)])
-    of = (enough[high - width + 2] > enough[low]) & np.isin(kind, kinds)
+    of = enough[high - width + 2] > enough[low]
     return shingles, *(c[of] for c in (text, centre, low, high, h, x, kind))
 
 
-def _contents(width: int):
-    """The contents of mixed windows; a task sends one at most twice while it remembers, as twice means repeated."""
-    schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("content", pa.binary()), ("centre", pa.int32())])
+def _emit(width: int, id_type: pa.DataType):
+    """The windows of a row that have a partner; of crowded hashes every exact passage.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, int] = {}
-        for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            shingles, _, centre, low, high, h, x, _ = _partnered(batch, data, offsets, width, (MIXED,))
-            if len(sent) > RECENT_CONTENTS:
-                sent = {}
-            new = []
-            for at, key in enumerate(zip(h.tolist(), x.tolist())):
-                times = sent.get(key, 0)
-                if times < 2:
-                    sent[key] = times + 1
-                    new.append(at)
-            centre, low, high, h, x = (c[new] for c in (centre, low, high, h, x))
-            small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
-            content = [small[a:b].tobytes() for a, b in zip(low.tolist(), (high + 1).tolist())]
-            if content:
-                yield record(schema, h.view(np.int64), x.view(np.int64), content, (centre - low).astype(np.int32))
-
-    return run
-
-
-def _emit(width: int, kinds: tuple[int, ...], id_type: pa.DataType):
-    """The windows of these kinds; of crowded hashes every exact passage."""
+    A mixed window carries its content, but a task sends one at most twice while it remembers it: twice says repeated.
+    """
     schema = pa.schema([("id", id_type), ("rid", pa.int64()), ("kb", pa.int64()), ("h", pa.int64()), ("x", pa.int64()), ("kind", pa.int8()),
-                        ("low", pa.int32()), ("size", pa.int32())])
+                        ("low", pa.int32()), ("size", pa.int32()), ("content", pa.binary()), ("centre", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[tuple[int, int], int] = {}
         for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            shingles, text, _, low, high, h, x, kind = _partnered(batch, data, offsets, width, kinds)
-            if CROWDED in kinds:  # one record for every exact passage
-                count = high - low - width + 2
+            shingles, text, centre, low, high, h, x, kind = _partnered(batch, data, offsets, width)
+            if not len(text):
+                continue
+            crowded = kind == CROWDED
+            if crowded.any():  # one record for every exact passage
+                count = np.where(crowded, high - low - width + 2, 1)
                 at = np.repeat(np.arange(len(text)), count)
-                text, h, kind, low = text[at], h[at], kind[at], low[at] + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-                high = low + width - 1
-                x = mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low])
+                shift = np.where(crowded[at], np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count), 0)
+                text, centre, h, kind, low, crowded = text[at], centre[at], h[at], kind[at], low[at] + shift, crowded[at]
+                high = np.where(crowded, low + width - 1, high[at])
+                x = np.where(crowded, mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low]), x[at])
+            small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
+            if len(sent) > RECENT_CONTENTS:
+                sent = {}
+            content: list[bytes | None] = [None] * len(text)
+            mixed = np.flatnonzero(kind == MIXED)
+            for at, *key, a, b in zip(mixed.tolist(), h[mixed].tolist(), x[mixed].tolist(), low[mixed].tolist(), (high[mixed] + 1).tolist()):
+                times = sent.get(tuple(key), 0)
+                if times < 2:
+                    sent[tuple(key)] = times + 1
+                    content[at] = small[a:b].tobytes()
             rid, kb = (batch.column(i).to_numpy(zero_copy_only=False)[text] for i in (0, 1))
-            if len(text):
-                yield record(schema, batch.column(2).take(pa.array(text)), rid, kb, h.view(np.int64), x.view(np.int64), kind.astype(np.int8),
-                             (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32))
+            yield record(schema, batch.column(2).take(pa.array(text)), rid, kb, h.view(np.int64), x.view(np.int64), kind.astype(np.int8),
+                         (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32), content, (centre - low).astype(np.int32))
 
     return run
 
