@@ -21,7 +21,9 @@ from costlake.llm.common import arrow_type, byte_slices, record, texts
 #: The driver and every worker hold at most this many words of at most this many characters.
 HEAD_WORDS, HEAD_CHARS = 131_072, 48
 #: Words outside the head that a worker remembers before it forgets them all.
-RECENT_WORDS = 200_000
+RECENT_WORDS = 50_000
+#: Bytes of text that are split into words at a time.
+SLICE = 250_000
 
 SPLIT = "[ \\t\\n\\x0B\\f\\r]+"
 _TABLE_SCHEMA = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))])
@@ -79,7 +81,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, known, recent = load(path), shared.value, {}
-        for batch, data, offsets in byte_slices(batches, "text"):
+        for batch, data, offsets in byte_slices(batches, "text", SLICE):
             raw = data.tobytes()
             rows = [raw[a:b].split() for a, b in itertools.pairwise(offsets.tolist())]
             rare = list({w for row in rows for w in row if w not in known and w not in recent})
