@@ -10,7 +10,6 @@ partner, and is then verified by the Jaccard similarity of shingles.
 
 from __future__ import annotations
 
-import collections
 import itertools
 from collections.abc import Iterable, Iterator
 
@@ -28,11 +27,13 @@ SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 FUNCTIONS, ENOUGH = 3, 2
 #: Unlike contents beyond which a hash is resolved by exact passages.
 HOT = 4096
-#: Representatives that are compared one by one; of more, those that share shingles are looked up.
-FEW = 3
+#: Contents of a hash that are compared pair by pair; of more, those that share shingles are looked up.
+FEW = 6
 #: Contents that a task remembers to have sent before it forgets them all.
 RECENT_CONTENTS = 100_000
 
+_JUDGED = "h bigint, x bigint, first int, last int, class_id bigint, node bigint"
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -123,8 +124,8 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A passage is ``passage_words`` words in a row (white space parts words, A-Z count as a-z); overlapping ones of
     a class are joined into one row. Its near-duplicates, in any row or elsewhere in its own, share at least
-    ``similarity`` of their 5-word shingles. ``class_id`` names the contents that it was verified against: rows
-    with one class are each other's near-duplicates or those of one representative. Equal contents are always
+    ``similarity`` of their 5-word shingles. ``class_id`` names a connected component: rows
+    with one class are each other's near-duplicates, or joined by a chain of them. Equal contents are always
     found; others when ``ENOUGH`` of ``FUNCTIONS`` hashes agree, so with a chance of 0.9 at 0.8 and 0.99 at 0.95.
     NULL and shorter texts have no passages; repeated rows are each other's duplicates.
     """
@@ -141,11 +142,11 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = repeated_keys(rows, keys, hot)
     met = rows.join(found, "rid").select("rid", "kb", "id", "text", "found")
     kind = docs.schema[id_col].dataType
-    fields = "rid bigint, kb bigint, h bigint, x bigint, kind tinyint, low int, size int, content binary, centre int"
+    fields = "rid bigint, kb bigint, h bigint, x bigint, kind tinyint, low int, size int, content binary"
     seen = stow(met.mapInArrow(_emit(width, arrow_type(kind)), f"id {kind.simpleString()}, {fields}"), "seen-windows")
-    contents = seen.filter("content IS NOT NULL").select("h", "x", "content", "centre")
-    judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(
-        _verify(width, similarity), "h bigint, x bigint, first int, last int, class_id bigint")
+    contents = seen.filter("content IS NOT NULL").select(
+        "h", F.lit(-1).alias("a"), F.lit(-1).alias("b"), "x", F.lit(False).alias("later"), "rid", "low", "content", F.lit(1).alias("n"))
+    judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(_verify(width, similarity), _JUDGED).drop("node")
     whole = (F.lit(0).alias("first"), (F.col("size") - width).alias("last"), F.xxhash64("h", "x").alias("class_id"))
     slim = seen.filter(F.col("kind") != CROWDED).select("id", "rid", "kb", "h", "x", "kind", "low", "size")
     known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
@@ -172,11 +173,11 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int):
-    """(shingles, text, c, low, high, h, x, kind) of the windows of which enough functions find a partner."""
-    shingles, text, centre, low, high, h, x, function = windows(data, offsets, width)
+    """(shingles, text, low, high, h, x, kind) of the windows of which enough functions find a partner."""
+    shingles, text, _, low, high, h, x, function = windows(data, offsets, width)
     kind = _kinds(batch, text, h)
     of = kind >= 0
-    text, centre, low, high, h, x, function, kind = (c[of] for c in (text, centre, low, high, h, x, function, kind))
+    text, low, high, h, x, function, kind = (c[of] for c in (text, low, high, h, x, function, kind))
     # passages begin in low..high - width + 1; count the functions that have a partner for each beginning
     agree = np.zeros(len(shingles.hashes) + 1, np.int16)
     for f in range(FUNCTIONS):
@@ -186,7 +187,7 @@ def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wid
         agree += np.cumsum(edges[:-1]) > 0
     enough = np.concatenate([[0], np.cumsum(agree >= ENOUGH)])
     of = enough[high - width + 2] > enough[low]
-    return shingles, *(c[of] for c in (text, centre, low, high, h, x, kind))
+    return shingles, *(c[of] for c in (text, low, high, h, x, kind))
 
 
 def _emit(width: int, id_type: pa.DataType):
@@ -195,12 +196,12 @@ def _emit(width: int, id_type: pa.DataType):
     A mixed window carries its content, but a task sends one at most twice while it remembers it: twice says repeated.
     """
     schema = pa.schema([("id", id_type), ("rid", pa.int64()), ("kb", pa.int64()), ("h", pa.int64()), ("x", pa.int64()), ("kind", pa.int8()),
-                        ("low", pa.int32()), ("size", pa.int32()), ("content", pa.binary()), ("centre", pa.int32())])
+                        ("low", pa.int32()), ("size", pa.int32()), ("content", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: dict[tuple[int, int], int] = {}
         for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            shingles, text, centre, low, high, h, x, kind = _partnered(batch, data, offsets, width)
+            shingles, text, low, high, h, x, kind = _partnered(batch, data, offsets, width)
             if not len(text):
                 continue
             crowded = kind == CROWDED
@@ -208,7 +209,7 @@ def _emit(width: int, id_type: pa.DataType):
                 count = np.where(crowded, high - low - width + 2, 1)
                 at = np.repeat(np.arange(len(text)), count)
                 shift = np.where(crowded[at], np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count), 0)
-                text, centre, h, kind, low, crowded = text[at], centre[at], h[at], kind[at], low[at] + shift, crowded[at]
+                text, h, kind, low, crowded = text[at], h[at], kind[at], low[at] + shift, crowded[at]
                 high = np.where(crowded, low + width - 1, high[at])
                 x = np.where(crowded, mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low]), x[at])
             small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
@@ -223,7 +224,7 @@ def _emit(width: int, id_type: pa.DataType):
                     content[at] = small[a:b].tobytes()
             rid, kb = (batch.column(i).to_numpy(zero_copy_only=False)[text] for i in (0, 1))
             yield record(schema, batch.column(2).take(pa.array(text)), rid, kb, h.view(np.int64), x.view(np.int64), kind.astype(np.int8),
-                         (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32), content, (centre - low).astype(np.int32))
+                         (low - shingles.starts[text]).astype(np.int32), (high - low + 1).astype(np.int32), content)
 
     return run
 
@@ -243,50 +244,29 @@ def _kinds(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray) -> np.ndarray
 
 
 def _verify(width: int, similarity: float):
-    """Compare the contents of a hash with its representatives, contents that none before was near to."""
-    schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("class_id", pa.int64())])
-
-    need = least_shared(width, similarity)
-
-    def judge(h: int, rows: Iterable[tuple]) -> Iterator[tuple]:
-        leaders: list[list] = []
-        having: dict[int, list[int]] = {}  # the representatives that have a shingle
-        known = 0  # representatives in it
-        for x, same in itertools.groupby(rows, key=lambda r: r[1]):
-            _, _, content, centre = next(same)
-            n = 1 + sum(1 for _ in same)
-            mine = np.frombuffer(content, np.uint32)
-            hit = near = None
-            some: Iterable[int] = range(len(leaders))
-            if len(leaders) > FEW:
-                for which in range(known, len(leaders)):
-                    for shingle in set(leaders[which][1].tolist()):
-                        having.setdefault(shingle, []).append(which)
-                known = len(leaders)
-                held = collections.Counter(mine.tolist())
-                of_all = held.pop(int(mine[centre]))  # every content of the hash has the centre
-                shared: dict[int, int] = {}
-                for shingle, times in held.items():
-                    for which in having.get(shingle, ()):
-                        shared[which] = shared.get(which, of_all) + times
-                if of_all < need:  # fewer cannot be near; a content that repeats its centre so often may be near to any
-                    some = sorted(w for w, n_shared in shared.items() if n_shared >= need)
-            for leader in [leaders[which] for which in some]:
-                near = nearest(mine, centre, leader[1], leader[2], width, similarity)
-                if near is not None:
-                    hit = leader
-                    break
-            if hit is None:
-                name = int(mix(np.array([h ^ x], np.int64).view(np.uint64))[0].view(np.int64))
-                leaders.append([x, mine, centre, name, n > 1])
-                if n > 1:
-                    yield h, x, 0, len(mine) - width, name
-                continue
-            yield h, x, (0 if n > 1 else near[0]), (len(mine) - width if n > 1 else near[1]), hit[3]
-            if not hit[4]:
-                hit[4] = True
-                back = nearest(hit[1], hit[2], mine, centre, width, similarity) or near
-                yield h, hit[0], back[0], back[1], hit[3]
+    """Compare the contents of a hash with each other; of two blocks of contents, those of one with those of the other.
+
+    Takes (h, a, b, x, later, rid, low, content, n), sorted by group (h, a, b) and content x. Yields the passages that have a
+    near-duplicate as (h, x, first, last, class_id), and for each content of a group in blocks (first, last) = (-1, -1) and
+    ``node``, the content's name, if it belongs to a class of another name.
+    """
+    schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("class_id", pa.int64()), ("node", pa.int64())])
+
+    def judge(h: int, a: int, b: int, rows: Iterable[tuple]) -> Iterator[tuple]:
+        group = Contents(width, similarity)
+        for x, same in itertools.groupby(rows, key=lambda r: r[3]):
+            _, _, _, _, later, rid, low, content, n = next(same)
+            group.add(x, np.frombuffer(content, np.uint32), n + sum(r[8] for r in same) > 1, later, rid, low)
+        group.resolve(a != b)
+        names = mix((np.array(group.keys, np.int64) ^ np.int64(h)).view(np.uint64)).view(np.int64)
+        least = names.copy()
+        np.minimum.at(least, group.label, names)
+        for at, x in enumerate(group.keys):
+            name = int(least[group.label[at]])
+            for first, last in runs(group.marked[at]):
+                yield h, x, first, last, name, None
+            if b >= 0 and name != names[at]:
+                yield h, x, -1, -1, name, int(names[at])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def all_rows():
@@ -295,41 +275,116 @@ def _verify(width: int, similarity: float):
                 yield from zip(*columns)
 
         for part in itertools.batched(itertools.chain.from_iterable(
-                judge(h, group) for h, group in itertools.groupby(all_rows(), key=lambda r: r[0])), 20_000):
+                judge(*key, group) for key, group in itertools.groupby(all_rows(), key=lambda r: r[:3])), 20_000):
             yield record(schema, *map(list, zip(*part)))
 
     return run
 
 
-def least_shared(width: int, similarity: float) -> int:
-    """The shingles that two passages of this width share at least when they are near-duplicates."""
-    return int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9))
+def runs(marked: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last) of every run of true entries."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))).tolist()
+    return [(a, b - 1) for a, b in zip(edges[::2], edges[1::2])]
 
 
-def _held(mine: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    """Which of ``mine`` are in ``ordered``."""
-    return ordered[np.minimum(np.searchsorted(ordered, mine), len(ordered) - 1)] == mine
+class Contents:
+    """The unlike contents of a hash: which of their passages have a near-duplicate in another one, and their classes.
 
+    Two contents are compared unless neither could gain: where they can hold near-duplicates at all, both are marked
+    already, and both are of one class. So every passage is marked and every link counts, in any order of the contents.
+    """
 
-def nearest(mine: np.ndarray, centre: int, other: np.ndarray, its_centre: int, width: int, similarity: float) -> tuple[int, int] | None:
-    """(first, last) beginnings of ``mine``'s passages that are near-duplicates of one of ``other``'s, or None."""
-    need = least_shared(width, similarity)
-    total = np.concatenate([[0], np.cumsum(_held(mine, np.sort(other)))])
-    some = np.flatnonzero(total[width:] - total[:-width] >= need).tolist()
-    if not some:
-        return None
-    back = np.concatenate([[0], np.cumsum(_held(other, np.sort(mine)))])
-    its = int(np.argmax(back[width:] - back[:-width]))
-    ours, theirs = mine.tolist(), other.tolist()
-
-    def good(i: int) -> bool:
-        passage = set(ours[i:i + width])
-        for j in (min(max(i - centre + its_centre, 0), len(theirs) - width), its):  # the same place beside the centre, or the best one
-            facing = set(theirs[j:j + width])
-            common = len(passage & facing)
-            if common >= similarity * (len(passage) + len(facing) - common):
-                return True
-        return False
-
-    first = next((i for i in some if good(i)), None)
-    return None if first is None else (first, next(i for i in reversed(some) if good(i)))
+    def __init__(self, width: int, similarity: float):
+        self.width, self.similarity = width, similarity
+        self.keys: list[int] = []
+        self.shingles: list[np.ndarray] = []
+        self.sets: list[set[int]] = []
+        self.marked: list[np.ndarray] = []
+        self.least: list[int] = []  # unlike shingles that any passage of it has at least
+        self.places: list[tuple[bool, int, int]] = []  # whether it repeats, its row and its place there
+        self.later: list[bool] = []
+
+    def add(self, key: int, shingles: np.ndarray, repeats: bool, later: bool, rid: int, low: int) -> None:
+        self.keys.append(key)
+        self.shingles.append(shingles)
+        self.sets.append(set(shingles.tolist()))
+        self.marked.append(np.full(len(shingles) - self.width + 1, repeats))
+        plain = len(self.sets[-1]) == len(shingles)
+        self.least.append(self.width if plain else int(_passages(np.unique(shingles, return_inverse=True)[1], self.width).sum(axis=1).min()))
+        self.places.append((repeats, rid, low))
+        self.later.append(later)
+
+    def resolve(self, between: bool) -> None:
+        """Compare all contents, or those of the earlier block with those of the later one."""
+        n = len(self.keys)
+        self.label = np.arange(n)
+        if n <= FEW:
+            for a, b in itertools.combinations(range(n), 2):
+                if not (between and self.later[a] == self.later[b]) and len(self.sets[a] & self.sets[b]) >= self._need(self.least[a] + self.least[b]):
+                    self._compare(a, b)
+            return
+        sizes = np.array([len(s) for s in self.shingles])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.unique(np.concatenate(self.shingles), return_inverse=True)[1]
+        held = np.unique(ids * n + np.repeat(np.arange(n), sizes))
+        having, bounds = held % n, np.searchsorted(held // n, np.arange(int(ids.max()) + 2)).tolist()
+        least, later = np.array(self.least), np.array(self.later)
+        tried = np.zeros((n, n), bool)
+        for a in range(n):
+            mine = [having[bounds[v]:bounds[v + 1]] for v in ids[starts[a]:starts[a + 1]].tolist()]
+            unlike = {int(v): m for v, m in zip(ids[starts[a]:starts[a + 1]], mine)}.values()
+            need = self._need(least[a] + least)
+            fit = np.bincount(np.concatenate(list(unlike)), minlength=n) >= need
+            fit[a] = False
+            if between:
+                fit &= later != later[a]
+            some = np.flatnonzero(fit)
+            if not len(some):
+                continue
+            common = np.zeros((len(mine) + 1, n), np.int16)
+            for place, those in enumerate(mine):
+                common[place + 1, those] = 1
+            common = np.cumsum(common[:, some], axis=0, dtype=np.int16)
+            may = common[self.width:] - common[:-self.width] >= need[some]  # the passages that can be near, by content
+            some, may = some[may.any(axis=0)], may[:, may.any(axis=0)]
+            while True:
+                gain = (may[~self.marked[a]].any(axis=0) | (self.label[some] != self.label[a])) & ~tried[a, some]
+                if not gain.any():
+                    break
+                b = int(some[np.argmax(gain)])
+                tried[a, b] = tried[b, a] = True
+                self._compare(a, b)
+
+    def _need(self, sizes):
+        """Shingles that passages of so many, both together, share at least when they are near-duplicates."""
+        return np.ceil(sizes * self.similarity / (1 + self.similarity) - 1e-9)
+
+    def _compare(self, a: int, b: int) -> None:
+        near = near_places(self.shingles[a], self.shingles[b], self.width, self.similarity)
+        if not near.any():
+            return
+        (repeats, rid, low), (too, its, at) = self.places[a], self.places[b]
+        if rid == its and not repeats and not too:  # a passage a few words on is no other one, unless it is the same again
+            apart = np.abs(low + np.arange(near.shape[0])[:, None] - at - np.arange(near.shape[1])) >= self.width + SHINGLE - 1
+            near &= apart | near_places(self.shingles[a], self.shingles[b], self.width, 1.0)
+            if not near.any():
+                return
+        self.marked[a] |= near.any(axis=1)
+        self.marked[b] |= near.any(axis=0)
+        self.label[self.label == self.label[b]] = self.label[a]
+
+
+def _passages(ids: np.ndarray, width: int, values: int | None = None) -> np.ndarray:
+    """For each passage of ``width`` shingles which values it has."""
+    seen = np.zeros((len(ids) + 1, values or int(ids.max()) + 1), np.int16)
+    seen[np.arange(len(ids)) + 1, ids] = 1
+    seen = np.cumsum(seen, axis=0, dtype=np.int16)
+    return (seen[width:] > seen[:-width]).astype(np.float32)
+
+
+def near_places(mine: np.ndarray, other: np.ndarray, width: int, similarity: float) -> np.ndarray:
+    """Which passages of ``mine`` (rows) are near-duplicates of which of ``other`` (columns), by Jaccard of their shingles."""
+    values, at = np.unique(np.concatenate([mine, other]), return_inverse=True)
+    ours, theirs = (_passages(part, width, len(values)) for part in (at[:len(mine)], at[len(mine):]))
+    sizes = ours.sum(axis=1, dtype=np.float64)[:, None] + theirs.sum(axis=1, dtype=np.float64)
+    return (ours @ theirs.T) * (1 + similarity) >= similarity * sizes - 1e-6

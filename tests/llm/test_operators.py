@@ -357,3 +357,36 @@ def test_embeddings_are_the_brute_force(spark):
         got = embedding_dedup.near_duplicates(frame, block=block).select("vec_id", "n_links", "component", "kept").collect()
         assert plain(map(tuple, got)) == plain(want)
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
+
+
+def brute_places(a, b, width=46, similarity=0.8):
+    sets = [[set(t[i:i + width]) for i in range(len(t) - width + 1)] for t in (a, b)]
+    return [[len(x & y) >= similarity * len(x | y) - 1e-9 for y in sets[1]] for x in sets[0]]
+
+
+@pytest.mark.parametrize("few", [0, 6])
+def test_contents_are_compared_in_any_order(monkeypatch, few):
+    monkeypatch.setattr(substring_dedup, "FEW", few)
+    rng = random.Random(3)
+    base = [rng.randrange(1 << 31) for _ in range(91)]
+    edit = lambda text, *places: [v + 1000 * (i in places) for i, v in enumerate(text)]
+    a, b = base, edit(base, 40, 45, 50)
+    c = edit(b, 38, 42, 48)  # a~b, b~c, in the middle not a~c
+    apart = [rng.randrange(1 << 31) for _ in range(45)] + [base[45]] + [rng.randrange(1 << 31) for _ in range(45)]
+    looped = (base[20:50] * 4)[:91]
+    texts = [a, b, c, apart, looped, looped[5:] + base[:5], base[30:] + apart[:30]]
+    near = {(i, j): np.array(brute_places(texts[i], texts[j])) for i, j in itertools.combinations(range(len(texts)), 2)}
+    want = [np.zeros(46, bool) for _ in texts]
+    for (i, j), found in near.items():
+        want[i] |= found.any(axis=1)
+        want[j] |= found.any(axis=0)
+        assert (substring_dedup.near_places(*(np.array(texts[k], np.uint32) for k in (i, j)), 46, 0.8) == found).all()
+    linked = least_reachable(list(range(len(texts))), [k for k, found in near.items() if found.any()])
+    for order in ([0, 1, 2, 3, 4, 5, 6], [0, 2, 1, 5, 3, 6, 4], [2, 0, 1, 6, 4, 5, 3], [3, 6, 5, 4, 2, 1, 0]):
+        group = substring_dedup.Contents(46, 0.8)
+        for i in order:
+            group.add(i, np.array(texts[i], np.uint32), False, False, i, 0)
+        group.resolve(False)
+        for at, i in enumerate(order):
+            assert (group.marked[at] == want[i]).all()
+            assert [linked[j] == linked[i] for j in order] == (group.label == group.label[at]).tolist()
