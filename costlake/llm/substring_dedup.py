@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, mix, record, stow, texts
+from costlake.llm.common import LOWER, UPPER, arrow_type, byte_slices, components, mix, record, stow, texts
 from costlake.llm.suffix_dedup import CROWDED, MIXED, SLICE, UNIFORM, Rolling, repeated_keys, sliding_min
 
 #: Words of a shingle and of a passage; the least similarity of near-duplicates.
 SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 #: Hash functions, and how many of them have to agree on a candidate.
 FUNCTIONS, ENOUGH = 3, 2
-#: Unlike contents beyond which a hash is resolved by exact passages.
+#: Unlike contents beyond which a hash is dealt out as pairs of blocks of half as many.
 HOT = 4096
 #: Contents of a hash that are compared pair by pair; of more, those that share shingles are looked up.
 FEW = 6
@@ -145,17 +145,17 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fields = "rid bigint, kb bigint, h bigint, x bigint, kind tinyint, low int, size int, content binary"
     seen = stow(met.mapInArrow(_emit(width, arrow_type(kind)), f"id {kind.simpleString()}, {fields}"), "seen-windows")
     contents = seen.filter("content IS NOT NULL").select(
-        "h", F.lit(-1).alias("a"), F.lit(-1).alias("b"), "x", F.lit(False).alias("later"), "rid", "low", "content", F.lit(1).alias("n"))
-    judged = contents.repartition("h").sortWithinPartitions("h", "x").mapInArrow(_verify(width, similarity), _JUDGED).drop("node")
+        "h", F.lit(-1).alias("a"), F.lit(-1).alias("b"), "x", F.lit(False).alias("later"), "rid", "low", "content", F.lit(1).alias("n"), "kind")
+    mixed = contents.filter(F.col("kind") == MIXED).drop("kind").repartition("h").sortWithinPartitions("h", "x")
+    judged = mixed.mapInArrow(_verify(width, similarity), _JUDGED).drop("node")
+    crowded = contents.filter(F.col("kind") == CROWDED)
+    if not crowded.isEmpty():
+        judged = judged.unionByName(_blocks(crowded, hot, width, similarity))
     whole = (F.lit(0).alias("first"), (F.col("size") - width).alias("last"), F.xxhash64("h", "x").alias("class_id"))
-    slim = seen.filter(F.col("kind") != CROWDED).select("id", "rid", "kb", "h", "x", "kind", "low", "size")
+    slim = seen.select("id", "rid", "kb", "h", "x", "kind", "low", "size")
     known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
     known = known.filter((F.col("kind") == UNIFORM) | F.col("of").isNotNull()).select("id", "rid", "kb", "low", "from", "to", "of", *whole)
     spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
-    exact = seen.filter(F.col("kind") == CROWDED).select("id", "rid", "kb", "h", "x", "low", "size")
-    if not exact.isEmpty():
-        again = exact.groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
-        spans = spans.unionByName(exact.join(again, ["h", "x"]).select("id", "rid", "kb", "low", *whole))
     spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
                          (F.col("low") + F.col("last") + width + SHINGLE - 1).alias("end"), "class_id")
     # within a row, overlapping spans are one passage; it is named by its least class
@@ -172,6 +172,26 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.class_id").alias("class_id"))
 
 
+def _blocks(crowded: DataFrame, hot: int, width: int, similarity: float) -> DataFrame:
+    """(h, x, first, last, class_id) for hashes with more contents than one task should compare.
+
+    The contents of a hash are dealt into blocks, and every pair of blocks is a group of its own, so all
+    contents meet whatever their number; work grows with its square. Classes of the groups are joined afterwards.
+    """
+    said = F.struct("rid", "low", "content")
+    one = crowded.groupBy("h", "x").agg(F.min(said).alias("said"), F.least(F.count("*"), F.lit(2)).cast("int").alias("n"))
+    one = stow(one, "crowded-contents")
+    blocks = stow(one.groupBy("h").agg(F.ceil(F.count("*") / max(1, hot // 2)).cast("int").alias("blocks")), "crowded-blocks")
+    dealt = one.join(blocks, "h").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("h", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "x",
+                         (F.col("block") > F.col("other")).alias("later"), "said.*", "n")
+    judged = stow(dealt.repartition("h", "a", "b").sortWithinPartitions("h", "a", "b", "x").mapInArrow(_verify(width, similarity), _JUDGED), "crowded-judged")
+    named = components(judged.filter("node IS NOT NULL").select(F.col("node").alias("a"), F.col("class_id").alias("b")))
+    known = judged.filter("node IS NULL").join(named.withColumnRenamed("node", "class_id"), "class_id", "left")
+    return known.select("h", "x", "first", "last", F.coalesce("component", "class_id").alias("class_id")).distinct()
+
+
 def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int):
     """(shingles, text, low, high, h, x, kind) of the windows of which enough functions find a partner."""
     shingles, text, _, low, high, h, x, function = windows(data, offsets, width)
@@ -191,9 +211,9 @@ def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wid
 
 
 def _emit(width: int, id_type: pa.DataType):
-    """The windows of a row that have a partner; of crowded hashes every exact passage.
+    """The windows of a row that have a partner.
 
-    A mixed window carries its content, but a task sends one at most twice while it remembers it: twice says repeated.
+    A window whose hash has unlike contents carries its content, but a task sends one at most twice while it remembers it: twice says repeated.
     """
     schema = pa.schema([("id", id_type), ("rid", pa.int64()), ("kb", pa.int64()), ("h", pa.int64()), ("x", pa.int64()), ("kind", pa.int8()),
                         ("low", pa.int32()), ("size", pa.int32()), ("content", pa.binary())])
@@ -204,19 +224,11 @@ def _emit(width: int, id_type: pa.DataType):
             shingles, text, low, high, h, x, kind = _partnered(batch, data, offsets, width)
             if not len(text):
                 continue
-            crowded = kind == CROWDED
-            if crowded.any():  # one record for every exact passage
-                count = np.where(crowded, high - low - width + 2, 1)
-                at = np.repeat(np.arange(len(text)), count)
-                shift = np.where(crowded[at], np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count), 0)
-                text, h, kind, low, crowded = text[at], h[at], kind[at], low[at] + shift, crowded[at]
-                high = np.where(crowded, low + width - 1, high[at])
-                x = np.where(crowded, mix(shingles.sums[high + 1] - shingles.sums[low] + shingles.hashes[low]), x[at])
             small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)
             if len(sent) > RECENT_CONTENTS:
                 sent = {}
             content: list[bytes | None] = [None] * len(text)
-            mixed = np.flatnonzero(kind == MIXED)
+            mixed = np.flatnonzero(kind != UNIFORM)
             for at, *key, a, b in zip(mixed.tolist(), h[mixed].tolist(), x[mixed].tolist(), low[mixed].tolist(), (high[mixed] + 1).tolist()):
                 times = sent.get(tuple(key), 0)
                 if times < 2:

@@ -390,3 +390,17 @@ def test_contents_are_compared_in_any_order(monkeypatch, few):
         for at, i in enumerate(order):
             assert (group.marked[at] == want[i]).all()
             assert [linked[j] == linked[i] for j in order] == (group.label == group.label[at]).tolist()
+
+
+def test_crowded_hashes_keep_near_passages(spark):
+    rng = random.Random(15)
+    base = words(rng, 60, 9000)
+    rows = []
+    for i in range(40):  # no two are equal, each has its own surroundings
+        mine = [*base]
+        mine[rng.choice([20, 30, 40])] = f"edit{i}"
+        rows.append((i, " ".join(words(rng, 40, 9000) + mine + words(rng, 40, 9000))))
+    frame = spark.createDataFrame(rows + [(99, " ".join(words(rng, 150, 9000)))], "doc_id bigint, text string")
+    key = lambda hot: plain((r.doc_id, r.start_word, r.end_word) for r in substring_dedup.near_passages(frame, hot=hot).collect())
+    got = key(4)
+    assert got == key(4096) and {r[0] for r in got} == set(range(40))
