@@ -1,11 +1,10 @@
-"""Near-duplicate passages by compact windows.
-
-A text's shingles of a few words are hashed by several functions. For each function the Cartesian tree of the
-hashes gives the compact windows (l, c, r): all subsequences that begin in l..c and end in c..r have their
-least hash at c. Only windows wide enough for a passage matter, and their centres are closed under going up
-the tree, so the tree is built of them alone. Subsequences of two texts can only be near-duplicates where their
-windows share the least hash; a passage is a candidate where enough functions agree on its having a
-partner, and is then verified by the Jaccard similarity of shingles.
+"""Near-duplicate passages by compact windows around prefix shingles.
+
+A text's shingles of a few words are hashed. Passages that are near-duplicates share most of their shingles, so of the
+least few of each, its prefix, they share some: this holds for every pair, not by chance. A shingle that is in the
+prefix of passages makes a window of them, in which no equal shingle comes before it. Windows that share the
+shingle meet; a passage is a candidate where enough of its prefix has a partner, and is then verified by the
+Jaccard similarity of shingles.
 """
 
 from __future__ import annotations
@@ -23,8 +22,8 @@ from costlake.llm.suffix_dedup import CROWDED, MIXED, SLICE, UNIFORM, Rolling, r
 
 #: Words of a shingle and of a passage; the least similarity of near-duplicates.
 SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
-#: Hash functions, and how many of them have to agree on a candidate.
-FUNCTIONS, ENOUGH = 3, 2
+#: Prefix shingles that near-duplicates have to share; more of them need longer prefixes and let fewer candidates pass.
+ENOUGH = 3
 #: Unlike contents beyond which a hash is dealt out as pairs of blocks of half as many.
 HOT = 4096
 #: Contents of a hash that are compared pair by pair; of more, those that share shingles are looked up.
@@ -100,22 +99,62 @@ def compact_windows(hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, wi
     return centre, left, right
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, passage: int):
-    """(shingles, text, c, low, high, h, x, function) of the compact windows of all functions.
+def prefix_windows(hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
+    """(c, first, last): the shingles that are among the ``length`` least unlike ones of a passage in which no equal one precedes them.
 
-    ``low``..``high`` are the shingles within reach of a passage that has its least hash at c; x is their hash.
+    The passages with c in their prefix begin in ``first``..``last``; others there have it, too, not always in the
+    prefix. A shingle that comes again within a passage's width counts once at most, so prefixes are never too short.
+    """
+    n = len(hashes)
+    place = np.arange(n)
+    order = np.argsort(hashes, kind="stable")
+    same = (hashes[order[1:]] == hashes[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    before = np.full(n, -1)
+    before[order[1:][same]] = order[:-1][same]
+    counts = (before < 0) | (place - before >= width)
+    rank = (hashes >> np.uint64(32)).astype(np.uint32)  # equal ones are not smaller
+    after = np.zeros((width, n), np.int8)  # smaller shingles among so many after each
+    for step in range(1, width):
+        after[step] = after[step - 1]
+        after[step, :n - step] += (rank[step:] < rank[:n - step]) & counts[step:]
+    most = np.minimum(place - np.maximum(starts[text], before + 1), width - 1).astype(np.int8)
+    fewest = np.maximum(place + width - starts[text + 1], 0).clip(max=width).astype(np.int8)
+    smaller = np.zeros(n, np.int8)
+    far, near = np.full(n, -1, np.int8), np.full(n, -1, np.int8)
+    for step in range(width):  # the passage begins so many before
+        if step:
+            smaller[step:] += (rank[:n - step] < rank[step:]) & counts[:n - step]
+        fits = (smaller + after[width - 1 - step] < length) & (fewest <= step) & (most >= step)
+        np.copyto(near, np.int8(step), where=fits & (near < 0))
+        np.copyto(far, np.int8(step), where=fits)
+    centre = np.flatnonzero(far >= 0)
+    return centre, centre - far[centre], centre - near[centre]
+
+
+def windows(data: np.ndarray, offsets: np.ndarray, width: int, similarity: float):
+    """(shingles, text, low, high, h, x) of the windows around the prefix shingles of passages of ``width`` shingles.
+
+    ``low``..``high`` are the shingles of the passages that have the prefix shingle h; x is their hash.
     """
     shingles = Shingles(data, offsets)
-    parts = []
-    for function in range(FUNCTIONS):
-        hashes = mix(shingles.hashes + np.uint64(0x9E3779B97F4A7C15 * (function + 1) % (1 << 64)))
-        centre, left, right = compact_windows(hashes, shingles.text, shingles.starts, passage)
-        low, high = np.maximum(left, centre - passage + 1), np.minimum(right, centre + passage - 1)
-        h = mix(hashes[centre] + np.uint64(function))
-        x = mix(shingles.sums[high + 1] - shingles.sums[low] + np.uint64(3) * shingles.hashes[low] + np.uint64(5) * shingles.hashes[high]
-                + (high - low).astype(np.uint64) * np.uint64(7) + (centre - low).astype(np.uint64) * np.uint64(11))
-        parts.append((shingles.text[centre], centre, low, high, h, x, np.full(len(centre), function)))
-    return shingles, *(np.concatenate(p) for p in zip(*parts))
+    hashes = mix(shingles.hashes + np.uint64(0x9E3779B97F4A7C15))
+    if len(hashes) < width:
+        none = np.zeros(0, np.int64)
+        return shingles, none, none, none, none.view(np.uint64), none.view(np.uint64)
+    centre, low, last = prefix_windows(hashes, shingles.text, shingles.starts, width, prefix_length(width, similarity))
+    high = last + width - 1
+    x = mix(shingles.sums[high + 1] - shingles.sums[low] + np.uint64(3) * shingles.hashes[low] + np.uint64(5) * shingles.hashes[high]
+            + (high - low).astype(np.uint64) * np.uint64(7) + (centre - low).astype(np.uint64) * np.uint64(11))
+    return shingles, shingles.text[centre], low, high, mix(hashes[centre]), x
+
+
+def prefix_length(width: int, similarity: float) -> int:
+    """The least shingles of a passage that have to be looked at so that near-duplicates share ``ENOUGH`` of them.
+
+    Of a passage's unlike shingles at least the part ``similarity`` is in any near-duplicate. The first shared
+    ones in the order of hashes come after no more than all the others, in either passage.
+    """
+    return min(width, width - int(np.ceil(width * similarity - 1e-9)) + ENOUGH)
 
 
 def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE,
@@ -125,8 +164,8 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A passage is ``passage_words`` words in a row (white space parts words, A-Z count as a-z); overlapping ones of
     a class are joined into one row. Its near-duplicates, in any row or elsewhere in its own, share at least
     ``similarity`` of their 5-word shingles. ``class_id`` names a connected component: rows
-    with one class are each other's near-duplicates, or joined by a chain of them. Equal contents are always
-    found; others when ``ENOUGH`` of ``FUNCTIONS`` hashes agree, so with a chance of 0.9 at 0.8 and 0.99 at 0.95.
+    with one class are each other's near-duplicates, or joined by a chain of them. None is missed:
+    near-duplicates always share prefix shingles, and whatever shares one is compared.
     NULL and shorter texts have no passages; repeated rows are each other's duplicates.
     """
     rows = texts(docs, id_col, text_col)
@@ -135,7 +174,7 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h", pa.int64()), ("x", pa.int64()), ("rid", pa.int64())])
         for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            _, text, _, _, _, h, x, _ = windows(data, offsets, width)
+            _, text, _, _, h, x = windows(data, offsets, width, similarity)
             if len(text):
                 yield record(schema, h.view(np.int64), x.view(np.int64), batch.column(0).to_numpy(zero_copy_only=False)[text])
 
@@ -143,7 +182,7 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = rows.join(found, "rid").select("rid", "kb", "id", "text", "found")
     kind = docs.schema[id_col].dataType
     fields = "rid bigint, kb bigint, h bigint, x bigint, kind tinyint, low int, size int, content binary"
-    seen = stow(met.mapInArrow(_emit(width, arrow_type(kind)), f"id {kind.simpleString()}, {fields}"), "seen-windows")
+    seen = stow(met.mapInArrow(_emit(width, similarity, arrow_type(kind)), f"id {kind.simpleString()}, {fields}"), "seen-windows")
     contents = seen.filter("content IS NOT NULL").select(
         "h", F.lit(-1).alias("a"), F.lit(-1).alias("b"), "x", F.lit(False).alias("later"), "rid", "low", "content", F.lit(1).alias("n"), "kind")
     mixed = contents.filter(F.col("kind") == MIXED).drop("kind").repartition("h").sortWithinPartitions("h", "x")
@@ -192,25 +231,34 @@ def _blocks(crowded: DataFrame, hot: int, width: int, similarity: float) -> Data
     return known.select("h", "x", "first", "last", F.coalesce("component", "class_id").alias("class_id")).distinct()
 
 
-def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int):
-    """(shingles, text, low, high, h, x, kind) of the windows of which enough functions find a partner."""
-    shingles, text, _, low, high, h, x, function = windows(data, offsets, width)
+def _partnered(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, width: int, similarity: float):
+    """(shingles, text, low, high, h, x, kind) of the windows with passages of which enough prefix shingles have a partner."""
+    shingles, text, low, high, h, x = windows(data, offsets, width, similarity)
     kind = _kinds(batch, text, h)
     of = kind >= 0
-    text, low, high, h, x, function, kind = (c[of] for c in (text, low, high, h, x, function, kind))
-    # passages begin in low..high - width + 1; count the functions that have a partner for each beginning
-    agree = np.zeros(len(shingles.hashes) + 1, np.int16)
-    for f in range(FUNCTIONS):
-        edges = np.zeros(len(agree) + 1, np.int32)
-        np.add.at(edges, low[function == f], 1)
-        np.add.at(edges, high[function == f] - width + 2, -1)
-        agree += np.cumsum(edges[:-1]) > 0
-    enough = np.concatenate([[0], np.cumsum(agree >= ENOUGH)])
+    text, low, high, h, x, kind = (c[of] for c in (text, low, high, h, x, kind))
+    # passages begin in low..high - width + 1; count the shingles that have a partner for each beginning
+    edges = np.zeros(len(shingles.hashes) + 2, np.int32)
+    np.add.at(edges, low, 1)
+    np.add.at(edges, high - width + 2, -1)
+    agree = np.cumsum(edges[:-1]) >= _expected(shingles, width, similarity)
+    enough = np.concatenate([[0], np.cumsum(agree)])
     of = enough[high - width + 2] > enough[low]
     return shingles, *(c[of] for c in (text, low, high, h, x, kind))
 
 
-def _emit(width: int, id_type: pa.DataType):
+def _expected(shingles: Shingles, width: int, similarity: float) -> np.ndarray:
+    """For every passage how many prefix shingles it shares at least with a near-duplicate: one where shingles repeat in it."""
+    n = len(shingles.hashes)
+    order = np.argsort(shingles.hashes, kind="stable")
+    near = (shingles.hashes[order[1:]] == shingles.hashes[order[:-1]]) & (order[1:] - order[:-1] < width)
+    again = np.zeros(n + width + 1, np.int64)
+    again[order[1:][near]] = 1
+    total = np.concatenate([[0], np.cumsum(again)])
+    return np.where(total[width:n + width + 1] > total[:n + 1], 1, min(ENOUGH, int(np.ceil(width * similarity - 1e-9))))
+
+
+def _emit(width: int, similarity: float, id_type: pa.DataType):
     """The windows of a row that have a partner.
 
     A window whose hash has unlike contents carries its content, but a task sends one at most twice while it remembers it: twice says repeated.
@@ -221,7 +269,7 @@ def _emit(width: int, id_type: pa.DataType):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: dict[tuple[int, int], int] = {}
         for batch, data, offsets in byte_slices(batches, "text", SLICE):
-            shingles, text, low, high, h, x, kind = _partnered(batch, data, offsets, width)
+            shingles, text, low, high, h, x, kind = _partnered(batch, data, offsets, width, similarity)
             if not len(text):
                 continue
             small = (shingles.hashes >> np.uint64(32)).astype(np.uint32)

@@ -404,3 +404,42 @@ def test_crowded_hashes_keep_near_passages(spark):
     key = lambda hot: plain((r.doc_id, r.start_word, r.end_word) for r in substring_dedup.near_passages(frame, hot=hot).collect())
     got = key(4)
     assert got == key(4096) and {r[0] for r in got} == set(range(40))
+
+
+def test_near_passages_are_the_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(12):
+        base = words(rng, rng.randrange(50, 75), 9000)
+        for j in range(4):
+            mine = list(base)
+            for _ in range(j):
+                at = rng.choice([rng.randrange(len(mine)), rng.randrange(9), len(mine) - 1 - rng.randrange(9)])
+                mine[at:at + rng.randrange(2)] = [f"edit{rng.randrange(10**6)}"]
+            rows.append((4 * i + j, " ".join(words(rng, rng.randrange(20), 9000) + mine + words(rng, rng.randrange(20), 9000))))
+    loop = words(rng, 70, 9000)
+    rows += [(90, " ".join(loop[:20] * 4 + ["odd"] + loop[:20] * 3)), (91, " ".join(loop[:30] + loop[3:40] + loop)), (92, " ".join(loop[5:9] + loop[:30]) + " tail" * 60)]
+    grams = {}
+    for doc_id, text in rows:
+        found = text.split()
+        grams[doc_id] = [(i, {" ".join(found[k:k + 5]) for k in range(i, i + 46)}) for i in range(len(found) - 49)]
+    want, at_the_edge = collections.defaultdict(set), 0
+    for (a, b) in itertools.combinations_with_replacement(grams, 2):
+        for (i, x), (j, y) in itertools.product(grams[a], grams[b]):
+            common, union = len(x & y), len(x | y)
+            if (a < b or i < j and (j - i >= 50 or x == y and union < 46)) and 5 * common >= 4 * union:
+                at_the_edge += 10 * common < 9 * union
+                want[a].add(i)
+                want[b].add(j)
+    spans = []
+    for doc_id, begins in want.items():
+        start = end = None
+        for i in sorted(begins):
+            if end is None or i >= end:
+                spans += [(doc_id, start, end)] if end else []
+                start = i
+            end = i + 50
+        spans.append((doc_id, start, end))
+    assert at_the_edge > 100
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert plain((r.doc_id, r.start_word, r.end_word) for r in substring_dedup.near_passages(frame).collect()) == plain(spans)
