@@ -159,12 +159,13 @@ def prefix_length(width: int, similarity: float) -> int:
 
 def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE,
                   similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """(id column, start_word, end_word, class_id) of every passage that has a near-duplicate elsewhere.
+    """(id column, start_word, end_word, class_id, class_ids) of every passage that has a near-duplicate elsewhere.
 
-    A passage is ``passage_words`` words in a row (white space parts words, A-Z count as a-z); overlapping ones of
-    a class are joined into one row. Its near-duplicates, in any row or elsewhere in its own, share at least
-    ``similarity`` of their 5-word shingles. ``class_id`` names a connected component: rows
-    with one class are each other's near-duplicates, or joined by a chain of them. None is missed:
+    A passage is ``passage_words`` words in a row (white space parts words, A-Z count as a-z); overlapping ones are
+    joined into one row. Its near-duplicates, in any row or elsewhere in its own, share at least
+    ``similarity`` of their 5-word shingles. ``class_ids`` lists all
+    classes of the passages in a row, each a connected component: rows that share one have near-duplicates in each other or
+    are joined by a chain of them. ``class_id`` is the least. None is missed:
     near-duplicates always share prefix shingles, and whatever shares one is compared.
     NULL and shorter texts have no passages; repeated rows are each other's duplicates.
     """
@@ -197,7 +198,7 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
     spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
                          (F.col("low") + F.col("last") + width + SHINGLE - 1).alias("end"), "class_id")
-    # within a row, overlapping spans are one passage; it is named by its least class
+    # within a row, overlapping spans are one passage; it is named by its least class and lists all
     runs = F.sort_array(F.collect_set(F.struct("start", "end", "class_id")))
     empty = F.array().cast("array<struct<start:int,end:int,class_id:bigint>>")
 
@@ -207,8 +208,15 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return (F.when(F.size(done) == 0, F.array(s)).when(s["start"] < last["end"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown)))
                 .otherwise(F.concat(done, F.array(s))))
 
-    merged = spans.groupBy("rid", "kb").agg(F.first("id").alias("id"), runs.alias("runs")).select("id", F.explode(F.aggregate("runs", empty, join)).alias("s"))
-    return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.class_id").alias("class_id"))
+    def with_classes(s):
+        mine = F.filter("runs", lambda r: (r["start"] >= s["start"]) & (r["start"] < s["end"]))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["class_id"].alias("class_id"),
+                        F.array_sort(F.array_distinct(F.transform(mine, lambda r: r["class_id"]))).alias("class_ids"))
+
+    merged = spans.groupBy("rid", "kb").agg(F.first("id").alias("id"), runs.alias("runs"))
+    merged = merged.select("id", F.explode(F.transform(F.aggregate("runs", empty, join), with_classes)).alias("s"))
+    return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"),
+                         F.col("s.class_id").alias("class_id"), F.col("s.class_ids").alias("class_ids"))
 
 
 def _blocks(crowded: DataFrame, hot: int, width: int, similarity: float) -> DataFrame:

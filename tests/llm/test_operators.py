@@ -443,3 +443,14 @@ def test_near_passages_are_the_brute_force(spark):
     assert at_the_edge > 100
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     assert plain((r.doc_id, r.start_word, r.end_word) for r in substring_dedup.near_passages(frame).collect()) == plain(spans)
+
+
+def test_merged_passages_keep_all_classes(spark):
+    rng = random.Random(4)
+    for _ in range(4):
+        text = words(rng, 150, 9000)
+        rows = [(1, " ".join(text[:100])), (2, " ".join(text)), (3, " ".join(text[50:]))]
+        got = substring_dedup.near_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == [(1, 0, 100), (2, 0, 150), (3, 0, 100)]
+        of = {r.doc_id: set(r.class_ids) for r in got}
+        assert of[1] & of[2] and of[2] & of[3] and all(r.class_id == min(r.class_ids) for r in got)
