@@ -1,7 +1,7 @@
 """From raw documents to token ids: the text operators one after another.
 
 Each stage takes what its predecessor kept and returns rows with the columns of ``documents``; the last
-returns token ids. :func:`run` writes every stage's result into the shared folder and goes on from there.
+returns token ids and a digest of the text that they decode to. :func:`run` writes every stage's result into the shared folder and goes on from there.
 """
 
 from __future__ import annotations
@@ -52,14 +52,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the token ids of every document that is left."""
+    """(doc_id, n_tokens, ids, decoded_sha256): every document that is left as token ids, and the digest of what they decode to."""
     path = tokenizer_path()
-    ids = bpe.encode(docs, path)
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", drop_toxic), ("line dedup", drop_repeated_lines), ("SimHash near-dedup", drop_near_duplicates),
-          ("benchmark decontamination", drop_contaminated), ("BPE encoding", encode)]
+          ("benchmark decontamination", drop_contaminated), ("BPE encoding and decoding", encode)]
 
 #: A trained model and a tokenizer's merges are beyond SQL.
 ORACLE_SQL = None

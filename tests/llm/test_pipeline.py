@@ -1,5 +1,6 @@
 """The pipeline on the smallest tables: every stage's decision against a plain version."""
 
+import hashlib
 import os
 
 import pytest
@@ -43,3 +44,13 @@ def test_every_stage_keeps_what_it_should(spark):
     assert {r["doc_id"]: r["ids"] for r in kept[4]} == want
     whole = pipeline.run(spark, SF)
     assert sorted(r.doc_id for r in whole.select("doc_id").collect()) == sorted(want)
+
+
+def test_last_stage_decodes(spark):
+    rows = [(1, "Hello World, don't"), (2, ""), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    library = bpe.load(queries.tokenizer_path())
+    got = {r.doc_id: (r.ids, r.decoded_sha256) for r in pipeline.STAGES[-1][1](spark, docs, SF).collect()}
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert got[i] == (ids, hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())
