@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import bpe, chat, decontaminate, embedding_dedup, line_dedup, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from costlake.llm import bpe, chat, decontaminate, embedding_dedup, line_dedup, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +171,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.near_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    metadata = ("n_chars",)
+    scored = quality.score(docs, quality.train(docs, labels, numbers=metadata), numbers=metadata)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
