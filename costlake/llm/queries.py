@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import bpe, chat, decontaminate, embedding_dedup, line_dedup, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from costlake.llm import bpe, chat, decontaminate, embedding_dedup, hard_negatives, line_dedup, quality, sharding, simhash, spelling, substring_dedup, suffix_dedup, toxicity
+from costlake.llm.common import stow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,3 +180,32 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     metadata = ("n_chars",)
     scored = quality.score(docs, quality.train(docs, labels, numbers=metadata), numbers=metadata)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op11_hard_negatives", """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", noisy))
+
+
+@query("op12_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(table(spark, sf_dir, "documents"), least=7)
+    code = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    place = F.pmod(code, F.char_length("run")).cast("int")
+    word = F.when(code % 31 == 0, spelling.drop_letter(F.col("run"), place)).otherwise(F.col("run"))
+    words = found.select(word.alias("word")).filter(F.char_length("word") >= 7)
+    counted = words.groupBy("word").agg(F.count("*").alias("n")).filter("n >= 2")
+    return spelling.group_variants(stow(counted, "words")).select("word", "form", "root", "n", "n_near", "form_n")
