@@ -6,6 +6,9 @@ distance 2. The bits are dealt into first-level parts; of two vectors within dis
 k' = k div (first-level parts). Each first-level part is dealt again into second-level parts, and for every way to leave out
 k' of these the rest is a signature. Two words within distance k share a signature exactly, so an equi-join on
 signatures finds all candidates; the edit itself is then verified on the letters in order.
+
+One edit leaves the first three or the last three letters as they are where both words have seven or more, so such words'
+signatures also hold their first or their last letters: two keys for each signature, and far fewer words to a key.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from costlake.llm.common import ascii_lower, mix, record, stow
 #: Runs of ASCII and Latin-1 letters.
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]"
 #: Hamming distance of words one edit apart, first-level parts, second-level parts of each.
-DISTANCE, FIRST, SECOND = 2, 1, 7
+DISTANCE, FIRST, SECOND = 2, 1, 5
+#: Letters at either end that a key holds, and the length from which on one of the ends outlives an edit.
+EDGE, LONG = 3, 7
 #: Words of a signature that meet in one task at most, roughly; larger groups are cut into blocks.
 BLOCK = 2048
 #: Crowded signatures are broadcast up to this number.
@@ -74,6 +79,33 @@ def signatures(hashes: np.ndarray, kept: list[tuple[int, ...]]) -> np.ndarray:
     return np.stack([mix(salted[:, list(way)].sum(axis=1, dtype=np.uint64) + np.uint64(i)) for i, way in enumerate(kept)], axis=1)
 
 
+def edges(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last :data:`EDGE` letters of each word as a number; 0 for words shorter than :data:`LONG`."""
+    made = np.zeros((2, len(starts) - 1), np.uint64)
+    long = np.flatnonzero(np.diff(starts) >= LONG)
+    for end, begin in enumerate((starts[:-1][long], starts[1:][long] - EDGE)):
+        for k in range(EDGE):
+            made[end, long] = (made[end, long] << np.uint64(21)) | codes[begin + k]
+    return made[0], made[1]
+
+
+def keys_of(codes: np.ndarray, starts: np.ndarray, kept: list[tuple[int, ...]], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, way, key) of every key that the words are joined by.
+
+    Ways 0, 1, ... are plain signatures, which words shorter than ``LONG`` have and those of just that length, as they
+    may be near a shorter one; the following are signatures with the first letters, then those with the last.
+    """
+    length, number = np.diff(starts), np.arange(len(starts) - 1)
+    signed = signatures(part_hashes(codes, starts, parts), kept)
+    words, kinds, keys = [], [], []
+    for kind, (at, edge) in enumerate(((number[length <= LONG], None), *((number[length >= LONG], e) for e in edges(codes, starts)))):
+        own = signed[at] if edge is None else mix(signed[at] + mix(mix(edge[at]) + np.uint64(kind))[:, None])
+        words.append(np.repeat(at, len(kept)))
+        kinds.append(np.tile(np.arange(len(kept), dtype=np.int32) + kind * len(kept), len(at)))
+        keys.append(own.ravel())
+    return np.concatenate(words), np.concatenate(kinds), np.concatenate(keys)
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether exactly one code point is inserted, deleted or replaced between two words."""
     if len(a) < len(b):
@@ -130,8 +162,8 @@ def pairs_of(starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def close_pairs(words: DataFrame, first: int = FIRST, second: int = SECOND, block: int = BLOCK) -> DataFrame:
     """(a, a_n, b, b_n): all pairs of words one edit apart, each once; ``words`` is (word, n) with distinct words.
 
-    A pair that shares several signatures is taken under the first of them. A signature with over ``block`` words is
-    cut into blocks of them that meet in pairs, a task holding two of them.
+    A pair that shares several keys is taken under the first of them. A key with over ``block`` words is cut into
+    blocks of them that meet in pairs, a task holding two of them.
     """
     kept = ways(first, second)
     schema = pa.schema([("way", pa.int32()), ("sig", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
@@ -140,9 +172,8 @@ def close_pairs(words: DataFrame, first: int = FIRST, second: int = SECOND, bloc
         for batch in batches:
             for low in range(0, batch.num_rows, 2000):
                 part = batch.slice(low, 2000)
-                sigs = signatures(part_hashes(*letters(part.column(0)), first * second), kept).view(np.int64)
-                at = np.repeat(np.arange(len(sigs)), len(kept))
-                yield record(schema, np.tile(np.arange(len(kept), dtype=np.int32), len(sigs)), sigs.ravel(), part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at)))
+                at, way, sig = keys_of(*letters(part.column(0)), kept, first * second)
+                yield record(schema, way, sig.view(np.int64), part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at)))
 
     signed = words.select("word", F.col("n").cast("long").alias("n")).mapInArrow(sign, "way int, sig bigint, word string, n bigint")
     large = signed.groupBy("sig").agg(F.count("*").alias("size")).filter(F.col("size") > block)
@@ -167,11 +198,13 @@ def close_pairs(words: DataFrame, first: int = FIRST, second: int = SECOND, bloc
             crossing = part.column("i").to_numpy() != part.column("j").to_numpy()
             codes, at = letters(word)
             length, hashes = np.diff(at), part_hashes(codes, at, first * second)
+            head, _ = edges(codes, at)
             for i, j in pairs_of(starts):
                 fit = (np.abs(length[i] - length[j]) <= 1) & ~(crossing[i] & (own[i] == own[j]))
                 i, j = i[fit], j[fit]
                 agree = (hashes[i] == hashes[j]) @ (1 << np.arange(first * second))
-                own_way = first_way[agree] == way[i]  # else the pair is another signature's
+                kind = np.where(np.minimum(length[i], length[j]) < LONG, 0, np.where(head[i] == head[j], 1, 2))
+                own_way = (first_way[agree] + kind * len(kept) == way[i]) & (way[i] == way[j])  # else the pair is another key's
                 i, j = i[own_way], j[own_way]
                 near = edits(codes, at, i, j)
                 if near.any():

@@ -60,7 +60,7 @@ def variants(rng, alphabet, number, length):
 @pytest.mark.parametrize("alphabet,block", [("abcdefghijklmnopqrstuvwxyzéß", 2048), ("ab", 2048), ("abc", 8)])
 def test_is_the_brute_force(spark, monkeypatch, alphabet, block):
     rng = random.Random(len(alphabet))
-    monkeypatch.setattr(spelling.close_pairs, "__defaults__", (1, 7, block))
+    monkeypatch.setattr(spelling.close_pairs, "__defaults__", (1, 5, block))
     counts = {w: rng.choice([1, 2, 3, 30, 31, 400, 5000]) for w in variants(rng, alphabet, 250, (5, 12))}
     want = brute_force(counts)
     assert sum(r[2] for r in want) > 100 and found(spark, counts) == want
@@ -74,6 +74,9 @@ def test_signatures_miss_no_pair(first, second):
     for i, j in itertools.combinations(range(len(words)), 2):
         if levenshtein(words[i], words[j]) == 1:
             assert (signed[i] == signed[j]).any()
+    at, way, key = spelling.keys_of(*spelling.letters(pa.array(words)), spelling.ways(first, second), first * second)
+    own = [set(zip(way[at == i].tolist(), key[at == i].tolist())) for i in range(len(words))]
+    assert all(own[i] & own[j] for i, j in itertools.combinations(range(len(words)), 2) if levenshtein(words[i], words[j]) == 1)
     with pytest.raises(ValueError):
         spelling.ways(1, 2)
 
