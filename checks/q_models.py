@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -12,10 +10,11 @@ from checks import fixtures as fx
 from checks.fixtures import sql_list
 from checks.registry import check
 from costlake.functions.text import ENGLISH_STOP_WORDS
-from costlake.operators import encode, metrics, models, splits
+from costlake.operators import crossval, encode, forest_grid, huber, metrics, models, splits, sweep
 from costlake.operators.cleaning import fill_categories
 from costlake.plans import layers, training
 from costlake.session import scratch_path, settle
+from costlake.sources import reports
 from costlake.sources.models import load_model
 
 POLICY = training.Policy(low=100.0, high=1_000_000.0, train=fx.TRAIN, validation=fx.VALIDATION, test_from=fx.TEST_FROM)
@@ -43,6 +42,13 @@ def _(spark, sf):
     return _encoded(spark, sf).groupBy("adu", F.col("adu__idx").alias("index")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@check("enc_01_distributed_index", f"{_INDEX} SELECT adu, rows, index FROM i")
+def _(spark, sf):
+    rows = _category_jobs(spark, sf)
+    return (encode.indexer(rows, ["adu"], ["index"], most=1).fit(rows).transform(rows)
+            .groupBy("adu", "index").agg(F.count(F.lit(1)).alias("rows")))
+
+
 @check("enc_02_one_hot", f"{_INDEX} SELECT adu, CAST(index AS INTEGER) AS slot, CAST((SELECT count(*) FROM i) + 1 AS INTEGER) AS slots FROM i")
 def _(spark, sf):
     slots = vector_to_array("adu__ohe")
@@ -194,17 +200,94 @@ def _folded(spark, sf, folds):
     return splits.fold_column(_vectors(spark, sf), "record_id", folds, seed=3)
 
 
-@check("mod_09_cross_validation")
+# Huber boosting: with one feature of two values every round splits there, so two rounds have a closed form
+_HUBER = """q AS (SELECT CASE WHEN l_linenumber <= 2 THEN 1.0 ELSE 0.0 END AS x,
+  l_quantity + CASE WHEN l_linenumber <= 2 THEN 20 ELSE 0 END + CASE WHEN l_partkey % 50 = 0 THEN 5000 ELSE 0 END AS y FROM lineitem),
+ r0 AS (SELECT x, y, y - (SELECT quantile_disc(y, 0.5) FROM q) AS r FROM q)"""
+
+
+def _huber_round(n):
+    """CTEs that take the residuals r{n-1} to r{n}."""
+    before = f"r{n - 1}"
+    return f"""d{n} AS (SELECT quantile_disc(abs(r), 0.9) AS d FROM {before}),
+ m{n} AS (SELECT x, quantile_disc(r, 0.5) AS m FROM {before} GROUP BY x),
+ v{n} AS (SELECT x, any_value(m) + avg(greatest(-d, least(d, r - m))) AS v FROM {before} JOIN m{n} USING (x), d{n} GROUP BY x),
+ r{n} AS (SELECT x, y, r - 0.5 * v AS r FROM {before} JOIN v{n} USING (x))"""
+
+
+@check("mod_07_huber_rounds", f"""WITH {_HUBER}, {_huber_round(1)}, {_huber_round(2)}
+ SELECT x, count(*) AS rows, round(avg(y - r), 6) AS prediction FROM r2 GROUP BY x""")
 def _(spark, sf):
-    return models.cross_validated({"ridge": models.ridge_log_cost(),
-                                   "forest": models.random_forest(trees=4, depth=4)}, _folded(spark, sf, 3), folds=3)
+    rows = fx.table(spark, sf, "lineitem").selectExpr(
+        "CASE WHEN l_linenumber <= 2 THEN 1.0D ELSE 0.0D END AS x",
+        "CAST(l_quantity + CASE WHEN l_linenumber <= 2 THEN 20 ELSE 0 END + CASE WHEN l_partkey % 50 = 0 THEN 5000 ELSE 0 END AS DOUBLE) AS label")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    scored = huber.fit_huber(rows, rounds=2, depth=1, rate=0.5).transform(rows)
+    return scored.groupBy("x").agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("prediction"), 6).alias("prediction"))
+
+
+def _folded(spark, sf, folds):
+    return splits.fold_column(_vectors(spark, sf), "record_id", folds, seed=3)
+
+
+@check("mod_09_cross_validation", """SELECT model, CAST(fold AS INTEGER) AS fold, side, true AS scored FROM (VALUES ('ridge'), ('forest')) m(model),
+ range(5) f(fold), (VALUES ('train'), ('test')) s(side)""")
+def _(spark, sf):
+    scores = crossval.cross_validated_sides({"ridge": models.ridge_log_cost(), "forest": models.random_forest()}, _folded(spark, sf, 5), folds=5)
+    return scores.select("model", "fold", "side", ((F.col("mse") > 0) & (F.col("r2") < 1)).alias("scored"))
+
+
+# with one feature the line of every fold has a closed form
+_FOLD_LINES = """l AS (SELECT l_quantity / 10 AS x, l_extendedprice / 10000 AS y, CAST(l_orderkey % 5 AS INTEGER) AS own FROM lineitem),
+ f AS (SELECT CAST(k AS INTEGER) AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM l JOIN range(5) r(k) ON own <> k GROUP BY k),
+ p AS (SELECT fold, CASE WHEN own = fold THEN 'test' ELSE 'train' END AS side, y, a + b * x AS p FROM l, f),
+ e AS (SELECT fold, side, 1 - avg(pow(y - p, 2)) / var_pop(y) AS r2, avg(pow(y - p, 2)) AS mse, avg(pow(ln(1 + y) - ln(1 + p), 2)) AS msle,
+  avg(abs((y - p) / y)) * 100 AS mape, 1 - var_pop(y - p) / var_pop(y) AS explained_variance FROM p GROUP BY fold, side)"""
+
+
+def _line_scores(spark, sf):
+    rows = _line_items(spark, sf, (F.col("l_orderkey") % 5).cast("int").alias("fold"))
+    return rows, crossval.cross_validated_sides({"line": models.ridge_log_cost(penalty=0.0, solver="normal")}, rows, folds=5)
+
+
+@check("mod_09_two_sided_scores", f"""WITH {_FOLD_LINES} SELECT fold, side, round(r2, 6) AS r2, round(mse, 6) AS mse, round(msle, 6) AS msle,
+ round(mape, 4) AS mape, round(explained_variance, 6) AS explained_variance FROM e""")
+def _(spark, sf):
+    _, scores = _line_scores(spark, sf)
+    return scores.select("fold", "side", *[F.round(c, 4 if c == "mape" else 6).alias(c) for c in ("r2", "mse", "msle", "mape", "explained_variance")])
+
+
+@check("mod_09_run_row", f"""WITH {_FOLD_LINES}, t AS (SELECT *, sqrt(mse) AS rmse FROM e WHERE side = 'test')
+ SELECT 'one feature' AS experiment, 'line' AS model, (SELECT count(*) FROM lineitem) AS dataset_rows, 5 AS n_folds, fold, round(rmse, 6) AS rmse,
+  round(r2, 6) AS r2, round(sqrt(msle), 6) AS rmsle, round(mape, 4) AS mape, round(explained_variance, 6) AS evs,
+  round((SELECT avg(rmse) FROM t), 6) AS rmse_cv_mean, round((SELECT stddev_pop(rmse) FROM t), 6) AS rmse_cv_std FROM t""")
+def _(spark, sf):
+    rows, scores = _line_scores(spark, sf)
+    path = scratch_path(spark, "runs")
+    reports.append_run(crossval.run_of(scores, "line", "one feature", rows, "label", [], ["x"], random_state=0), path)
+    logged = reports.read_runs(spark, path)
+    arrays = F.arrays_zip("rmse_cv", "r2_cv", "rmsle_cv", "mape_cv", "evs_cv")
+    per_fold = logged.select("*", F.posexplode(arrays).alias("fold", "s"))
+    rounded = [F.round(F.col(f"s.{c}_cv"), 4 if c == "mape" else 6).alias(c) for c in ("rmse", "r2", "rmsle", "mape", "evs")]
+    return per_fold.select("experiment", "model", "dataset_rows", "n_folds", "fold", *rounded,
+                           F.round("rmse_cv_mean", 6).alias("rmse_cv_mean"), F.round("rmse_cv_std", 6).alias("rmse_cv_std"))
+
+
+def _grid(spark, sf):
+    return forest_grid.forest_scores(_folded(spark, sf, 5), forest_grid.Grid(), "forest grid", scratch_path(spark, "runs"), folds=5)
 
 
-@check("mod_10_grid_search")
+@check("mod_10_grid_search", f"""SELECT trees, depth, least_split, least_leaf, 5 AS folds, true AS scored FROM (SELECT unnest([50, 100, 300]) AS trees),
+ (SELECT unnest([10, 25, 100]) AS depth), (SELECT unnest([4, 8, 12]) AS least_split), (SELECT unnest([1, 2, 10]) AS least_leaf)
+ UNION ALL SELECT NULL, NULL, NULL, NULL, 5, true""")
 def _(spark, sf):
-    _, table = models.grid_search(models.random_forest(trees=4, depth=3), {"maxDepth": [2, 4], "minInstancesPerNode": [1, 10]},
-                                  _folded(spark, sf, 2), folds=2)
-    return table
+    scores = settle(_grid(spark, sf))
+    keys = ["trees", "depth", "least_split", "least_leaf"]
+    each = scores.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("folds"), (F.min("rmse") > 0).alias("scored"), F.avg("rmse").alias("rmse"))
+    least = each.agg(F.min("rmse")).scalar()
+    best = forest_grid.best_combination(scores).select(*[F.lit(None).cast("int").alias(k) for k in keys], F.col("folds").cast("int").alias("folds"),
+                                                       (F.col("rmse") == least).alias("scored"))
+    return each.drop("rmse").unionByName(best)
 
 
 # The penalties that are compared.
@@ -223,9 +306,8 @@ RIDGE_PENALTIES = [0.05, 0.1, 0.3, 1.0, 3.0, 5.0, 10.0, 15.0, 30.0, 50.0, 75.0]
  SELECT model, alpha, round(avg(rmse), 5) AS rmse FROM e GROUP BY model, alpha""")
 def _(spark, sf):
     rows = _line_items(spark, sf, (F.col("l_orderkey") % 5).cast("int").alias("fold"))
-    found = [models.penalty_sweep(partial(make, tolerance=1e-9), alphas, rows, folds=5).withColumn("model", F.lit(name))
-             for name, make, alphas in (("lasso", models.lasso, LASSO_PENALTIES), ("ridge", models.ridge, RIDGE_PENALTIES))]
-    return found[0].unionByName(found[1]).select("model", "alpha", F.round("rmse", 5).alias("rmse"))
+    found = sweep.penalty_sweep(rows, {"lasso": LASSO_PENALTIES, "ridge": RIDGE_PENALTIES})
+    return found.select("model", "alpha", F.round("rmse", 5).alias("rmse"))
 
 
 @check("mod_12_batch_scoring", f"""WITH {fx.JOBS} SELECT count(*) AS rows, count(*) AS in_domain FROM jobs""")

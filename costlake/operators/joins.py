@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from costlake.session import settle
 
@@ -24,11 +25,18 @@ def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
 
 
 def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a computed table may be broadcast: few rows, and few bytes written as text."""
-    if table.limit(max_rows + 1).count() > max_rows:
-        return False
-    size = table.agg(F.sum(F.length(F.to_json(F.struct(*table.columns))))).first()[0]
-    return (size or 0) <= max_bytes
+    """Whether a computed table may be broadcast: few rows, and few bytes (nested values weigh what they do as text)."""
+    parts = []
+    for field in table.schema:
+        kind = field.dataType
+        if isinstance(kind, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)))
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)))
+    weight = reduce(lambda a, b: a + b, parts, F.lit(8 * len(table.columns))).cast("long")
+    # one row more than allowed tells that there are too many
+    rows, size = table.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(weight)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
