@@ -101,6 +101,7 @@ JOB_TABLE = CostTable(
              "story_change", "existing_units", "proposed_units", "unit_change", "is_adu"),
     text="description",
     profiles={"target_source": (("target_source",), (), None), "zones_top20": (("zone",), ("zone",), 20),
+              "segments_top20": (("category", "segment"), ("segment",), 20), "districts_top20": (("district",), ("district",), 20),
               "annual_trend": (("permit_creation_year",), ("permit_creation_year",), None)},
     scale_averages={f"avg_{c}": c for c in ("existing_stories", "proposed_stories", "story_change",
                                             "existing_units", "proposed_units", "unit_change")},

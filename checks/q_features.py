@@ -123,7 +123,7 @@ def _(spark, sf):
 
 @check("ftr_17_interaction", f"WITH {fx.PLACES} SELECT place_id, x * y AS lat_lon FROM places")
 def _(spark, sf):
-    return fx.places(spark, sf).select("place_id", (F.col("x") * F.col("y")).alias("lat_lon"))
+    return fx.places(spark, sf).select("place_id", ff.interaction(F.col("x"), F.col("y")).alias("lat_lon"))
 
 
 _STORY = """CASE phrase_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN CAST(units AS INTEGER) WHEN 5 THEN 11 {extra} END"""

@@ -97,6 +97,21 @@ def _(spark, sf):
     return out.select("record_id", "prediction_cost", F.round("prediction", 6).alias("prediction"))
 
 
+@check("src_09_training_summary", f"""WITH {fx.TARGETS}, kept AS (SELECT * FROM targets
+  WHERE target_cost BETWEEN greatest(100, (SELECT quantile_disc(target_cost, 0.01) FROM targets))
+  AND least(1000000, (SELECT quantile_disc(target_cost, 0.99) FROM targets)))
+ SELECT split, count(*) AS rows, 100.0E0 AS minimum_cost, 'linear_regression' AS best_model, 4 AS scores, true AS same_rmse FROM kept WHERE split IS NOT NULL GROUP BY split""")
+def _(spark, sf):
+    path = scratch_path(spark, "training")
+    result = training.compare_structured(_ready(spark, sf), POLICY, fx.JOB_TABLE, estimators={"linear_regression": models.ridge_log_cost(iterations=60)})
+    training.write_training_reports(result, path)
+    read = reports.read_summary_json(spark, f"{path}/results")
+    own = F.filter("metrics", lambda m: (m["model"] == F.col("selection.best_model")) & (m["split"] == "validation"))[0]["rmse"]
+    sizes = F.array(*[F.struct(F.lit(s).alias("split"), F.col(f"split_rows.{s}").alias("rows")) for s in splits.SPLITS])
+    return read.select(F.inline(sizes), F.col("training_policy.minimum_cost").alias("minimum_cost"), F.col("selection.best_model").alias("best_model"),
+                       F.size("metrics").alias("scores"), (own == F.col("selection.best_validation_rmse")).alias("same_rmse"))
+
+
 def _line_items(spark, sf, *keep):
     """One feature against the price, on scales of about one."""
     rows = fx.table(spark, sf, "lineitem").select(
@@ -145,12 +160,12 @@ def _fit_and_measure(spark, sf, estimators):
 
 @check("mod_03_random_forest", _PREDICTED.format(models="('random_forest')"))
 def _(spark, sf):
-    return _fit_and_measure(spark, sf, {"random_forest": models.random_forest(trees=10, depth=6)})
+    return _fit_and_measure(spark, sf, {"random_forest": models.random_forest()})
 
 
 @check("mod_04_boosted_trees", _PREDICTED.format(models="('gradient_boosted_trees')"))
 def _(spark, sf):
-    return _fit_and_measure(spark, sf, {"gradient_boosted_trees": models.boosted_trees(rounds=8, depth=4)})
+    return _fit_and_measure(spark, sf, {"gradient_boosted_trees": models.boosted_trees()})
 
 
 @check("mod_05_penalised_linear", """WITH s AS (SELECT count(*) AS n, covar_pop(l_extendedprice / 10000, l_quantity / 10) AS c,
@@ -178,6 +193,24 @@ def _(spark, sf):
     return metrics.log_metrics(scored.withColumn("model", F.lit("quadratic")), "label", "prediction", ["model"])
 
 
+# with one feature the normal equations are three, solved here by Cramer's rule
+@check("mod_06_one_feature", """WITH l AS (SELECT l_quantity / 10 AS x, l_extendedprice / 10000 AS y FROM lineitem),
+ c AS (SELECT 0.05 AS g, sqrt(0.1) AS r),
+ e AS (SELECT any_value(g) AS g, any_value(r) AS r, any_value(g * g) * sum(pow(x, 4)) + 0.5 AS a, any_value(g * r) * sum(pow(x, 3)) AS b,
+  any_value(g) * sum(x * x) AS d, any_value(r * r) * sum(x * x) + 0.5 AS f, any_value(r) * sum(x) AS h, count(*) + 0.5 AS k,
+  any_value(g) * sum(x * x * y) AS u, any_value(r) * sum(x * y) AS v, sum(y) AS w FROM l, c),
+ t AS (SELECT *, a * (f * k - h * h) - b * (b * k - h * d) + d * (b * h - f * d) AS det FROM e),
+ s AS (SELECT g, r, (u * (f * k - h * h) - b * (v * k - h * w) + d * (v * h - f * w)) / det AS p,
+  (a * (v * k - h * w) - u * (b * k - h * d) + d * (b * w - v * d)) / det AS q,
+  (a * (f * w - v * h) - b * (b * w - v * d) + u * (b * h - f * d)) / det AS o FROM t)
+ SELECT x, count(*) AS rows, round(any_value(p * g * x * x + q * r * x + o), 5) AS prediction FROM l, s GROUP BY x""")
+def _(spark, sf):
+    rows = _line_items(spark, sf)
+    fitted = models.fit_quadratic_ridge(rows, "features", 1)
+    scored = fitted.transform(models.quadratic_features(rows, "features", 1, 0.05, 1.0))
+    return scored.groupBy("x").agg(F.count(F.lit(1)).alias("rows"), F.round(F.first("prediction"), 5).alias("prediction"))
+
+
 @check("mod_07_boosted_variants", _PREDICTED.format(models="('absolute_loss'), ('sampled_columns'), ('shallow')"))
 def _(spark, sf):
     return _fit_and_measure(spark, sf, {
@@ -189,10 +222,7 @@ def _(spark, sf):
 @check("mod_08_train_compare_select", """SELECT * FROM (VALUES ('median_baseline'), ('linear_regression'), ('random_forest'),
  ('gradient_boosted_trees')) m(model), (VALUES ('validation'), ('test')) s(split)""")
 def _(spark, sf):
-    result = training.compare_structured(_ready(spark, sf), POLICY, fx.JOB_TABLE, estimators={
-        "linear_regression": models.ridge_log_cost(iterations=60),
-        "random_forest": models.random_forest(trees=8, depth=5),
-        "gradient_boosted_trees": models.boosted_trees(rounds=5, depth=4)})
+    result = training.compare_structured(_ready(spark, sf), POLICY, fx.JOB_TABLE)
     return result.metrics.filter(F.col("rmse") > 0).select("model", "split")
 
 
@@ -201,7 +231,7 @@ def _folded(spark, sf, folds):
 
 
 # Huber boosting: with one feature of two values every round splits there, so two rounds have a closed form
-_HUBER = """q AS (SELECT CASE WHEN l_linenumber <= 2 THEN 1.0 ELSE 0.0 END AS x,
+_HUBER = """q AS (SELECT CASE WHEN l_linenumber <= 2 THEN 1.0E0 ELSE 0.0E0 END AS x,
   l_quantity + CASE WHEN l_linenumber <= 2 THEN 20 ELSE 0 END + CASE WHEN l_partkey % 50 = 0 THEN 5000 ELSE 0 END AS y FROM lineitem),
  r0 AS (SELECT x, y, y - (SELECT quantile_disc(y, 0.5) FROM q) AS r FROM q)"""
 
@@ -267,7 +297,7 @@ def _(spark, sf):
     reports.append_run(crossval.run_of(scores, "line", "one feature", rows, "label", [], ["x"], random_state=0), path)
     logged = reports.read_runs(spark, path)
     arrays = F.arrays_zip("rmse_cv", "r2_cv", "rmsle_cv", "mape_cv", "evs_cv")
-    per_fold = logged.select("*", F.posexplode(arrays).alias("fold", "s"))
+    per_fold = logged.drop("fold").select("*", F.posexplode(arrays).alias("fold", "s"))
     rounded = [F.round(F.col(f"s.{c}_cv"), 4 if c == "mape" else 6).alias(c) for c in ("rmse", "r2", "rmsle", "mape", "evs")]
     return per_fold.select("experiment", "model", "dataset_rows", "n_folds", "fold", *rounded,
                            F.round("rmse_cv_mean", 6).alias("rmse_cv_mean"), F.round("rmse_cv_std", 6).alias("rmse_cv_std"))
@@ -286,7 +316,7 @@ def _(spark, sf):
     each = scores.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("folds"), (F.min("rmse") > 0).alias("scored"), F.avg("rmse").alias("rmse"))
     least = each.agg(F.min("rmse")).scalar()
     best = forest_grid.best_combination(scores).select(*[F.lit(None).cast("int").alias(k) for k in keys], F.col("folds").cast("int").alias("folds"),
-                                                       (F.col("rmse") == least).alias("scored"))
+                                                       (F.abs(F.col("rmse") - least) <= 1e-9).alias("scored"))
     return each.drop("rmse").unionByName(best)
 
 
@@ -341,6 +371,16 @@ def _(spark, sf):
     return models.feature_importances(models.random_forest(trees=6, depth=5).fit(encoded), encoded)
 
 
+@check("mod_14_importance_totals", f"""WITH {fx.TARGETS} SELECT CAST(count(DISTINCT zone) + count(DISTINCT category) + count(DISTINCT segment) + 3 + 3 AS BIGINT) AS slots,
+ 1.0E0 AS total, true AS in_range FROM targets WHERE split = 'train' AND target_cost BETWEEN
+  greatest(100, (SELECT quantile_disc(target_cost, 0.01) FROM targets)) AND least(1000000, (SELECT quantile_disc(target_cost, 0.99) FROM targets))""")
+def _(spark, sf):
+    vectors = _vectors(spark, sf)
+    found = models.feature_importances(models.random_forest().fit(vectors.filter(F.col("split") == "train")), vectors)
+    return found.agg(F.count(F.lit(1)).alias("slots"), F.round(F.sum("importance"), 6).alias("total"),
+                     (F.min("importance") >= 0).alias("in_range"))
+
+
 # -------------------------------------------------- explaining a text model
 
 _TRAIN_TERMS = f"""w AS (SELECT doc_id, {fx.sql_tokens('text', 3)} AS words FROM documents WHERE doc_id % 7 < 5 AND n_chars >= 1),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def zero_filled_difference(after: Column, before: Column) -> Column:
     return F.coalesce(after, F.lit(0)) - F.coalesce(before, F.lit(0))
 
 
+def interaction(first: Column, *others: Column) -> Column:
+    """The product of features as a double; NULL if one of them is."""
+    return reduce(lambda a, b: a * b, [c.cast("double") for c in (first, *others)])
+
+
 def amount_from_log10(log_amount: Column, low: float, high: float) -> Column:
     """Back to the amount scale, held inside the model's domain; NULL stays NULL."""
     amount = F.pow(F.lit(10.0), log_amount)

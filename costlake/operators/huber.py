@@ -22,7 +22,7 @@ from costlake.operators.trees import Tree, from_debug_string, summed, unnamed, w
 from costlake.session import settle
 
 #: Rounds after which the rows' state is written, so that a lost executor costs that many rounds at most.
-SETTLE_EVERY = 20
+SETTLE_EVERY = 5
 
 
 @dataclass(frozen=True)

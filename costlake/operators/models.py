@@ -31,40 +31,41 @@ def ridge_log_cost(label: str = "label", penalty: float = 0.05, iterations: int
                             standardization=True)
 
 
-def random_forest(label: str = "label", trees: int = 35, depth: int = 10, **params) -> RandomForestRegressor:
-    settings = dict(maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8,
-                    featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=42)
-    return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
-                                 maxDepth=depth, **{**settings, **params})
+# Settings of the estimators that are compared.
+FOREST = dict(maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8, featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=42)
+BOOSTED = dict(maxBins=64, stepSize=0.08, minInstancesPerNode=5, subsamplingRate=0.8, featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=42)
+ABSOLUTE = dict(lossType="absolute", stepSize=0.05, minInstancesPerNode=3, subsamplingRate=1.0, featureSubsetStrategy="all")
+SAMPLED = dict(stepSize=0.05, minInstancesPerNode=1)
+SHALLOW = dict(stepSize=0.05, maxBins=50, subsamplingRate=0.8, featureSubsetStrategy="0.2", minInstancesPerNode=6)
+TREES, FOREST_DEPTH = 35, 10
+ROUNDS, BOOSTED_DEPTH = 25, 6
+ROBUST_ROUNDS, ROBUST_DEPTH = 1000, 9
+SAMPLED_ROUNDS, SAMPLED_DEPTH, SAMPLED_COLUMNS, SAMPLED_ROWS = 250, 10, 0.9, 0.8
+SHALLOW_ROUNDS, SHALLOW_DEPTH = 300, 3
 
 
-def boosted_trees(label: str = "label", rounds: int = 25, depth: int = 6, **params) -> GBTRegressor:
-    settings = dict(maxBins=64, stepSize=0.08, minInstancesPerNode=5, subsamplingRate=0.8,
-                    featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=42)
-    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth,
-                        **{**settings, **params})
+def random_forest(label: str = "label", trees: int = TREES, depth: int = FOREST_DEPTH, **params) -> RandomForestRegressor:
+    return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, **{**FOREST, **params})
 
 
-def robust_boosted_trees(label: str = "label", rounds: int = 100, depth: int = 9, **params) -> GBTRegressor:
-    """Boosting on absolute error, the robust loss Spark offers."""
-    return boosted_trees(label, rounds, depth,
-                         **{**dict(lossType="absolute", stepSize=0.05, minInstancesPerNode=3,
-                                   subsamplingRate=1.0, featureSubsetStrategy="all"), **params})
+def boosted_trees(label: str = "label", rounds: int = ROUNDS, depth: int = BOOSTED_DEPTH, **params) -> GBTRegressor:
+    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, **{**BOOSTED, **params})
 
 
-def column_sampled_boosted_trees(label: str = "label", rounds: int = 250, depth: int = 10,
-                                 columns: float = 0.9, rows: float = 0.8, **params) -> GBTRegressor:
+def robust_boosted_trees(label: str = "label", rounds: int = ROBUST_ROUNDS, depth: int = ROBUST_DEPTH, **params) -> GBTRegressor:
+    """Boosting on absolute error; :func:`costlake.operators.huber.fit_huber` has the Huber loss."""
+    return boosted_trees(label, rounds, depth, **{**ABSOLUTE, **params})
+
+
+def column_sampled_boosted_trees(label: str = "label", rounds: int = SAMPLED_ROUNDS, depth: int = SAMPLED_DEPTH,
+                                 columns: float = SAMPLED_COLUMNS, rows: float = SAMPLED_ROWS, **params) -> GBTRegressor:
     """Boosting with row and column sampling."""
-    return boosted_trees(label, rounds, depth,
-                         **{**dict(stepSize=0.05, subsamplingRate=rows, minInstancesPerNode=1,
-                                   featureSubsetStrategy=str(columns)), **params})
+    return boosted_trees(label, rounds, depth, **{**SAMPLED, "subsamplingRate": rows, "featureSubsetStrategy": str(columns), **params})
 
 
-def shallow_boosted_trees(label: str = "label", rounds: int = 300, depth: int = 3, **params) -> GBTRegressor:
+def shallow_boosted_trees(label: str = "label", rounds: int = SHALLOW_ROUNDS, depth: int = SHALLOW_DEPTH, **params) -> GBTRegressor:
     """Many small trees (about five leaves) on coarse bins."""
-    return boosted_trees(label, rounds, depth,
-                         **{**dict(stepSize=0.05, maxBins=50, subsamplingRate=0.8,
-                                   featureSubsetStrategy="0.2", minInstancesPerNode=6), **params})
+    return boosted_trees(label, rounds, depth, **{**SHALLOW, **params})
 
 
 def penalised_linear(train: DataFrame, alpha: float, l1_ratio: float, label: str = "label",

@@ -62,9 +62,16 @@ def threshold_counts(df: DataFrame, value: str, thresholds: list[float]) -> Data
 
 
 def group_profile(df: DataFrame, keys: list[str], value: str, accuracy: int = DEFAULT_ACCURACY,
-                  keep_null_keys: bool = True) -> DataFrame:
-    """Row count, mean and median of a value per group."""
+                  keep_null_keys: bool = True, exact: bool = False) -> DataFrame:
+    """Row count, mean and median of a value per group.
+
+    The median comes from a sketch in the same pass; ``exact`` counts for it, which takes a few more.
+    """
     rows = df if keep_null_keys else df.dropna(subset=keys)
+    if exact:
+        medians = exact_quantiles_wide(rows, value, [0.5], ["median_cost"], keys)
+        counts = rows.groupBy(*keys).agg(_rows().alias("projects"), F.avg(value).alias("mean_cost"))
+        return key_join(counts, medians, keys, "left")
     return rows.groupBy(*keys).agg(
         _rows().alias("projects"), F.avg(value).alias("mean_cost"),
         F.percentile_approx(value, 0.5, accuracy).alias("median_cost"))

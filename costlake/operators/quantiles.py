@@ -45,6 +45,11 @@ def _number(df: DataFrame, value: str) -> tuple[Column, DataType]:
     return F.when(~F.isnan(double), double), DoubleType()
 
 
+def known_number(df: DataFrame, value: str) -> Column:
+    """The column as quantiles see it: NaN is NULL."""
+    return _number(df, value)[0]
+
+
 def sketch_quantiles(df: DataFrame, value: str, probs: list[float],
                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Rows ``probability, quantile`` from one bounded sketch."""

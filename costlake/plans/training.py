@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from costlake.operators import cleaning, encode, explain, features, metrics, models, ranking, splits, text
 from costlake.operators.profile import columns_with_values
+from costlake.operators.quantiles import quantiles_row
 from costlake.plans import permits
 from costlake.plans.permits import PERMITS, CostTable
 from costlake.session import settle
@@ -39,6 +40,10 @@ class Trained:
     metrics: DataFrame
     best: str
     improvement: DataFrame
+    policy: Policy = Policy()
+    split_rows: dict[str, int] = field(default_factory=dict)
+    features: dict[str, list[str] | int] = field(default_factory=dict)
+    median: float | None = None
 
 
 def training_rows(ready: DataFrame, policy: Policy, table: CostTable = PERMITS) -> DataFrame:
@@ -68,6 +73,12 @@ def _choose(fitted: dict[str, Model], scored: DataFrame, exclude: list[str]) ->
     return Trained(fitted, measured, best, metrics.improvement(measured, BASELINE))
 
 
+def _described(result: Trained, policy: Policy, sizes: dict[str, int], categorical: list[str], numeric: list[str], width: int, train: DataFrame) -> Trained:
+    """What a summary needs to know besides the scores."""
+    median = quantiles_row(train, "target_cost", [0.5]).first()[0]
+    return replace(result, policy=policy, split_rows=sizes, features={"categorical": categorical, "numeric": numeric, "vector_size": width}, median=median)
+
+
 def _with_baseline(train: DataFrame, held_out: DataFrame, scored: DataFrame, policy: Policy) -> DataFrame:
     baseline = models.median_baseline(train, held_out, "target_cost").withColumn("model", F.lit(BASELINE))
     columns = ["model", "split", "target_cost", "label", "prediction", "prediction_cost"]
@@ -81,8 +92,15 @@ def compare_structured(ready: DataFrame, policy: Policy = Policy(), table: CostT
 
     The baseline is measured but cannot win.
     """
-    rows = training_rows(ready, policy, table)
-    splits.require_rows(rows)
+    rows = training_rows(ready, policy, table).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _compare_structured(rows, policy, table, model_dir, estimators)
+    finally:
+        rows.unpersist()
+
+
+def _compare_structured(rows: DataFrame, policy: Policy, table: CostTable, model_dir: str | None, estimators: dict | None) -> Trained:
+    sizes = splits.require_rows(rows)
     train = rows.filter(F.col("split") == "train")
     numeric = columns_with_values(train, list(table.numeric))
     categorical = [c for c in table.categorical if c in rows.columns]
@@ -99,6 +117,8 @@ def compare_structured(ready: DataFrame, policy: Policy = Policy(), table: CostT
             ["split", "target_cost", "label"])
         result = _choose(fitted, _with_baseline(train, vectors.filter(F.col("split") != "train"),
                                                 scored, policy), exclude=[BASELINE])
+        width = len(models.feature_names(vectors))
+        result = _described(result, policy, sizes, categorical, numeric, width, train)
     finally:
         vectors.unpersist()
     if model_dir is not None:
@@ -113,7 +133,7 @@ def compare_with_text(ready: DataFrame, policy: Policy = Policy(only_source="rev
     """Ridge on structured features against ridge on structured features and hashed TF-IDF text."""
     rows = training_rows(ready, policy, table).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        splits.require_rows(rows)
+        sizes = splits.require_rows(rows)
         train = rows.filter(F.col("split") == "train")
         held_out = rows.filter(F.col("split") != "train")
         numeric = columns_with_values(train, list(table.numeric))
@@ -132,6 +152,8 @@ def compare_with_text(ready: DataFrame, policy: Policy = Policy(only_source="rev
                 F.lit(name).alias("model"), "split", "target_cost", "label", "prediction")
             scored = part if scored is None else scored.unionByName(part)
         result = _choose(fitted, _with_baseline(train, held_out, scored, policy), exclude=[])
+        width = fitted["structured_text"].stages[-1].numFeatures
+        result = _described(result, policy, sizes, [*categorical, table.text], numeric, width, train)
     finally:
         rows.unpersist()
     if model_dir is not None and result.best in fitted:
@@ -167,12 +189,42 @@ def explain_text(ready: DataFrame, policy: Policy = Policy(only_source="revised_
             "strongest": ranking.signed_extremes(effects, "coefficient_log10", "term", top)}
 
 
+def training_summary(result: Trained) -> DataFrame:
+    """One nested row: policy, rows of each split, features, baseline, the chosen model, and every model's scores."""
+    spark = result.metrics.sparkSession
+    policy, chosen = result.policy, result.metrics.filter((F.col("model") == result.best) & (F.col("split") == "validation"))
+    gain = result.improvement.filter((F.col("model") == result.best) & (F.col("split") == "validation"))
+    listed = result.metrics.agg(F.sort_array(F.collect_list(F.struct("model", "split", *[c for c in result.metrics.columns if c not in ("model", "split")]))).alias("m"))
+    names = lambda values: F.lit(list(values)) if values else F.array().cast("array<string>")
+    return spark.range(0, 1, 1, 1).select(
+        F.struct(F.lit("log10(target_cost)").alias("target"), F.lit(policy.low).alias("minimum_cost"), F.lit(policy.high).alias("maximum_cost"),
+                 F.lit(policy.train[0]).alias("train_from"), F.lit(policy.train[1]).alias("train_to"), F.lit(policy.validation).alias("validation_year"),
+                 F.lit(policy.test_from).alias("test_from")).alias("training_policy"),
+        F.struct(*[F.lit(n).alias(split) for split, n in sorted(result.split_rows.items())]).alias("split_rows"),
+        F.struct(names(result.features["categorical"]).alias("categorical"), names(result.features["numeric"]).alias("numeric"),
+                 F.lit(result.features["vector_size"]).alias("vector_size")).alias("features"),
+        F.struct(F.lit(result.median).cast("double").alias("training_median_cost")).alias("baseline"),
+        F.struct(F.lit("validation RMSE").alias("criterion"), F.lit(result.best).alias("best_model"), chosen.select("rmse").scalar().alias("best_validation_rmse"),
+                 gain.select("improvement_percent").scalar().alias("rmse_improvement_vs_median_percent")).alias("selection"),
+        listed.scalar().alias("metrics"))
+
+
 def write_training_reports(result: Trained, out: str) -> None:
-    """Metric table, improvement over the baseline, and the chosen model's name and scores."""
+    """Metric table, improvement over the baseline, and the summary of the run."""
     reports.write_report_csv(result.metrics, f"{out}/metrics", ["split", "rmse"])
     reports.write_report_csv(result.improvement, f"{out}/improvement")
-    chosen = result.metrics.filter((F.col("model") == result.best) & (F.col("split") == "validation"))
-    reports.write_summary_json({"best": chosen}, f"{out}/results")
+    training_summary(result).write.mode("overwrite").json(f"{out}/results")
+
+
+def explanation_summary(found: dict[str, DataFrame], compared: Trained, without: str = "structured", with_: str = "structured_text") -> DataFrame:
+    """One nested row: the model that is explained, what text adds per split, and the companion model's size and quality."""
+    ablation = metrics.ablation(compared.metrics, without, with_)
+    listed = lambda df, key: df.agg(F.sort_array(F.collect_list(F.struct(key, *[c for c in df.columns if c != key]))).alias("l")).scalar()
+    return compared.metrics.sparkSession.range(0, 1, 1, 1).select(
+        F.struct(F.lit(compared.best).alias("name"), F.lit("hashed TF-IDF: hashed slots can't be traced back to words").alias("text_method")).alias("production_model"),
+        listed(ablation, "split").alias("ablation_analysis"),
+        F.struct(F.lit("counts by word, TF-IDF, ridge; explains, doesn't predict").alias("method"),
+                 found["terms"].agg(F.count(F.lit(1))).scalar().alias("vocabulary_size"), listed(found["quality"], "split").alias("quality")).alias("companion_model"))
 
 
 def write_explanation(found: dict[str, DataFrame], compared: Trained, out: str,
@@ -184,3 +236,4 @@ def write_explanation(found: dict[str, DataFrame], compared: Trained, out: str,
                                  [F.abs("coefficient_log10").desc(), "term"])
     reports.write_report_csv(found["quality"], f"{out}/companion_quality")
     reports.write_report_csv(metrics.ablation(compared.metrics, without, with_), f"{out}/text_ablation")
+    explanation_summary(found, compared, without, with_).write.mode("overwrite").json(f"{out}/summary")

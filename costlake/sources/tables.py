@@ -76,6 +76,12 @@ def number_range(spark: SparkSession, rows: int, partitions: int | None = None)
                       (F.col("id") * F.col("id")).alias("signal"))
 
 
+def row_signals(df: DataFrame, number: str) -> DataFrame:
+    """``df`` with the linear and the quadratic signal of a number column, for smoke checks on a table's own rows."""
+    n = F.col(number)
+    return df.withColumns({"metric": n * 2, "signal": n * n})
+
+
 def checksum(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(column).alias("checksum"))
 

@@ -143,14 +143,14 @@ def test_huber_beats_absolute_loss_on_clean_data_and_squares_on_outliers(spark):
     x = rng.uniform(-1, 1, (400, 2))
     clean = 10 * x[:, 0] + 3 * np.sign(x[:, 1])
     df = table(spark, x, clean)
-    model = huber.fit_huber(df, rounds=25, depth=3, rate=0.2)
+    model = huber.fit_huber(df, rounds=8, depth=3, rate=0.4)
     error = lambda rows: rows.agg(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).first()[0]
-    absolute = GBTRegressor(lossType="absolute", maxIter=25, maxDepth=3, stepSize=0.2).fit(trees.unnamed(df))
+    absolute = GBTRegressor(lossType="absolute", maxIter=8, maxDepth=3, stepSize=0.4).fit(trees.unnamed(df))
     assert error(model.transform(df)) < error(absolute.transform(trees.unnamed(df)))
     spoilt = clean.copy()
     spoilt[::20] += 1000
-    model = huber.fit_huber(table(spark, x, spoilt), rounds=25, depth=3, rate=0.2, least_rows=10)
-    squared = GBTRegressor(maxIter=25, maxDepth=3, stepSize=0.2, minInstancesPerNode=10).fit(trees.unnamed(table(spark, x, spoilt)))
+    model = huber.fit_huber(table(spark, x, spoilt), rounds=8, depth=3, rate=0.4, least_rows=10)
+    squared = GBTRegressor(maxIter=8, maxDepth=3, stepSize=0.4, minInstancesPerNode=10).fit(trees.unnamed(table(spark, x, spoilt)))
     assert error(model.transform(df)) < error(squared.transform(trees.unnamed(df)))
 
 
