@@ -11,10 +11,11 @@ from __future__ import annotations
 import itertools
 import json
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -113,11 +114,11 @@ def nested_predictions(trees: list[Tree], grid: Grid, df: DataFrame, features: s
 
 
 def forest_scores(df: DataFrame, grid: Grid, experiment: str, log: str, features: str = "features", label: str = "label", fold: str = "fold",
-                  folds: int = 5, seed: int = 0, dataset_version: str | None = None, **params) -> DataFrame:
+                  folds: int = 5, seed: int = 0, dataset_version: str | None = None, parallelism: int = 1, **params) -> DataFrame:
     """(trees, depth, least_split, least_leaf, fold, rmse): the error on each fold of forests fitted on the others.
 
     ``log`` is the run log; what ``experiment`` has there already isn't fitted again. ``params`` go to the forest.
-    Depths over 30 mean 30. Rows with a NULL label, vector or fold take no part; an empty fold has no scores.
+    ``parallelism`` fits are under way at a time. Depths over 30 mean 30. Rows with a NULL label, vector or fold take no part; an empty fold has no scores.
     """
     spark = df.sparkSession
     rows = unnamed(df, features).select(features, F.col(label).cast("double").alias(label), F.col(fold).cast("int").alias(fold)).dropna()
@@ -125,22 +126,32 @@ def forest_scores(df: DataFrame, grid: Grid, experiment: str, log: str, features
     settings = dict(subsamplingRate=1.0, featureSubsetStrategy="all", maxBins=64, maxMemoryInMB=1024) | params
     try:
         done = _logged(spark, log, experiment)
-        for leaf, k in itertools.product(grid.least_leaf, range(folds)):
-            names = [name(t, d, s, leaf) for t, d, s in grid.nested()]
-            if all((n, k) in done for n in names):
-                continue
+        open_ = [(leaf, k) for leaf, k in itertools.product(grid.least_leaf, range(folds))
+                 if not all((name(t, d, s, leaf), k) in done for t, d, s in grid.nested())]
+
+        def errors_of(unit: tuple[int, int]) -> list[float] | None:
+            leaf, k = unit
             train, held = rows.filter(F.col(fold) != k), rows.filter(F.col(fold) == k)
             if held.isEmpty() or train.isEmpty():
-                continue
+                return None
             forest = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=max(grid.trees), maxDepth=min(DEEPEST, max(grid.depth)),
                                            minInstancesPerNode=leaf, seed=seed, **settings).fit(train)
             path = scratch_path(spark, "forest")
             forest.write().overwrite().save(path)
             scored = nested_predictions(forest_trees(spark.read.parquet(f"{path}/data")), grid, held, features)
             gap = lambda i: F.get("predictions", i) - F.col(label)
-            errors = scored.agg(*[F.sqrt(F.avg(gap(i) * gap(i))) for i in range(len(names))]).first()
-            append_run(run_rows(spark, [dict(experiment=experiment, model=n, fold=k, n_folds=folds, rmse_cv=[e], rmse_cv_mean=e, random_state=seed,
-                                             target_variable=label, dataset_version=dataset_version) for n, e in zip(names, errors)]), log)
+            return list(scored.agg(*[F.sqrt(F.avg(gap(i) * gap(i))) for i in range(len(grid.nested()))]).first())
+
+        pool = ThreadPool(parallelism) if parallelism > 1 else None
+        # one after another into the log, which takes one writer at a time
+        found = pool.imap(inheritable_thread_target(spark)(errors_of), open_) if pool else map(errors_of, open_)
+        for (leaf, k), errors in zip(open_, found):
+            if errors is not None:
+                append_run(run_rows(spark, [dict(experiment=experiment, model=name(t, d, s, leaf), fold=k, n_folds=folds, rmse_cv=[e], rmse_cv_mean=e,
+                                                 random_state=seed, target_variable=label, dataset_version=dataset_version)
+                                            for (t, d, s), e in zip(grid.nested(), errors)]), log)
+        if pool:
+            pool.close()
     finally:
         rows.unpersist()
     found = read_runs(spark, log).filter((F.col("experiment") == experiment) & F.col("fold").isNotNull())
