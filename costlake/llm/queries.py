@@ -43,8 +43,8 @@ def tokenizer_path() -> str:
 
 
 def held_out(doc_id: Column) -> Column:
-    """Whether a row's label must not be learnt from."""
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0
+    """Whether a row's label must not be learnt from; a row without an id is no example, but not held out either."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 @query("op2_simhash")

@@ -26,6 +26,8 @@ PREFIXES = (3, 4, 5, 6)
 #: A feature has to be in so many sampled texts.
 LEAST_TEXTS = 8
 EPOCHS, RATE, DECAY = 300, 0.02, 1e-3
+#: Bytes of text that are scored at a time; one longer text is a slice of its own.
+SLICE = 250_000
 #: Deviations by which a feature has to be more frequent in P than in U.
 TELLING = 5.0
 
@@ -143,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: int = 5, id_col: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["features", "positive"])
 
     data = rows.mapInArrow(numbered, "features array<int>, positive boolean").toArrow()
+    place.destroy()  # scoring needs the weights only
     positive = data.column("positive").to_numpy().astype(bool)
     if not len(positive) or not positive.any() or positive.all():
         return Model({}, float(np.log(prior / (1 - prior))))
@@ -153,19 +156,20 @@ def train(docs: DataFrame, labels: DataFrame, holdout: int = 5, id_col: str = "d
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """``docs`` with the score of each row's whole text; empty and NULL texts score by the bias."""
+    """``docs`` with the score of each row's whole text; empty and NULL texts score by the bias.
+
+    A column of ``docs`` that is called like ``out_col`` is replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # at most MOST_WORDS weights
-    at = docs.columns.index(text_col)
+    docs = docs.drop(out_col)
     schema = T.StructType([*docs.schema, T.StructField(out_col, T.DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(*shared.value)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                margins = np.array([known.margin((x.as_py() or "").encode()) for x in part.column(at)])
-                scores = pa.array(1 / (1 + np.exp(-np.clip(margins, -40, 40))), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, out_col])
+        for part, data, offsets in byte_slices(batches, text_col, SLICE):
+            margins = np.array([known.margin(data[a:b].tobytes()) for a, b in itertools.pairwise(offsets.tolist())])
+            scores = pa.array(1 / (1 + np.exp(-np.clip(margins, -40, 40))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, out_col])
 
     return docs.mapInArrow(run, schema)
 
