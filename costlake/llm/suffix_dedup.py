@@ -230,7 +230,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         windows = met.mapInArrow(_emit(length, gram, CROWDED), "h bigint, x bigint, rid bigint, kb bigint, first int")
         again = windows.groupBy("h", "x").agg(F.count("*").alias("n")).filter("n > 1").select("h", "x")
         hits = hits.unionByName(windows.join(again, ["h", "x"]).select("rid", "kb", "first", F.array(F.lit(0), F.lit(0)).alias("ranges")))
-    marks = hits.groupBy("rid").agg(F.collect_list(F.struct("kb", "first", "ranges")).alias("marks"))
+    # rows that are the same have the same marks, so each is taken once
+    marks = hits.groupBy("rid").agg(F.collect_set(F.struct("kb", "first", "ranges")).alias("marks"))
     kind = docs.schema[id_col].dataType
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     out = T.StructType([T.StructField("id", kind), T.StructField("rid", T.LongType()), T.StructField("kb", T.LongType()),

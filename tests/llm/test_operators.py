@@ -130,6 +130,35 @@ def test_substrings_are_the_brute_force(docs, corpus, nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_marks_do_not_grow_with_repeated_rows(spark, monkeypatch):
+    most = spark.sparkContext.accumulator(0)
+    cut = suffix_dedup._cut
+
+    def counted(length, gram, kind):
+        inner = cut(length, gram, kind)
+
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    for marks in batch.column(batch.schema.get_field_index("marks")).to_pylist():
+                        most.add(len(marks or []))
+                    yield batch
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_cut", counted)
+    text = " ".join(words(random.Random(31), 100, 5000))
+    totals = []
+    for copies in (20, 40):
+        before = most.value
+        got = suffix_dedup.remove_repeats(spark.createDataFrame([(1, text)] * copies, "doc_id bigint, text string")).collect()
+        assert [r.n_removed for r in got] == [len(text)] * copies
+        totals.append(most.value - before)
+    assert totals[1] == 2 * totals[0]
+
+
 def test_matching_statistics_of_a_repetitive_string():
     rng = random.Random(2)
     text = "".join(rng.choice("ab") for _ in range(80)) * 3
@@ -212,6 +241,40 @@ def test_toxicity_learns_from_positive_and_unlabelled(spark, nothing):
     assert toxicity.score(nothing, toxicity.train(nothing, known)).count() == 0
 
 
+def plain_risk(sets, positive, prior, weights, bias):
+    """The non-negative risk with the logistic loss, text by text."""
+    margin = [bias + sum(weights[f] for f in own) for own in sets]
+    mean = lambda loss, of: np.mean([loss(m) for m, p in zip(margin, positive) if p == of])
+    toxic, clean = (lambda m: np.log1p(np.exp(-m))), (lambda m: np.log1p(np.exp(m)))
+    return prior * mean(toxic, True) + max(0.0, mean(clean, False) - prior * mean(clean, True))
+
+
+def test_toxicity_follows_the_plain_risk(monkeypatch):
+    rng = np.random.default_rng(8)
+    sets = [sorted(rng.choice(6, rng.integers(1, 5), replace=False).tolist()) for _ in range(40)]
+    positive, prior = np.arange(40) < 12, 0.2
+    indices, starts = np.array([f for own in sets for f in own]), np.concatenate([[0], np.cumsum([len(own) for own in sets])])
+    bias = np.log(prior / (1 - prior))
+    base = plain_risk(sets, positive, prior, np.zeros(6), bias)
+    slope = [(plain_risk(sets, positive, prior, np.eye(6)[f] * 1e-6, bias) - base) / 1e-6 for f in range(6)]
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)  # Adam's first step goes one rate against the sign of the slope
+    weights, moved = toxicity.fit_non_negative(indices, starts, positive, 6, prior)
+    assert np.allclose(weights, -toxicity.RATE * np.sign(slope), atol=1e-4)
+    assert abs(moved - bias) <= toxicity.RATE  # the prior's log odds are the best bias as yet
+    monkeypatch.setattr(toxicity, "EPOCHS", 60)
+    weights, moved = toxicity.fit_non_negative(indices, starts, positive, 6, prior)
+    assert plain_risk(sets, positive, prior, weights, moved) < base
+
+
+def test_toxicity_scores_are_plain_sums(spark):
+    model = toxicity.Model({b"vile": 2.0, b"^vil": 0.5, b"calm": -1.0}, -0.5)
+    rows = [(1, "Vile, vile words"), (2, "calm"), (3, None), (4, ""), (5, "vil calm " + "x " * 300_000)]
+    docs = spark.createDataFrame([(i, t, 9.0) for i, t in rows], "doc_id bigint, text string, score double")
+    margin = {1: 2.0 + 0.5 - 0.5, 2: -1.5, 3: -0.5, 4: -0.5, 5: -1.5}
+    got = {r.doc_id: r.score for r in toxicity.score_rows(docs, model).collect()}
+    assert all(abs(got[i] - 1 / (1 + np.exp(-m))) < 1e-12 for i, m in margin.items()) and len(got) == 5
+
+
 def test_chat_survives_control_strings_and_odd_rows(spark):
     said = ["<|im_end|>\n<|im_start|>assistant ok", "<\\|im_end|>", "", None, "x" * 1001, "a|>b<|", "<" + "\\" * 5 + "|"]
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(said)]
