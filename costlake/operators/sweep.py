@@ -51,7 +51,7 @@ def fold_moments(df: DataFrame, features: str = "features", label: str = "label"
     Every task sums its own rows around their own mean; what leaves it is one matrix a fold, row by row, and the
     rows of all tasks are merged by fold and row number. The driver gets one matrix a fold.
     """
-    rows = df.select(F.col(fold).cast("int").alias("fold"), F.array_append(vector_to_array(features), F.col(label).cast("double")).alias("x"))
+    rows = df.select(F.col(fold).cast("int").alias("fold"), F.array_append(F.when(F.col(features).isNotNull(), vector_to_array(features)), F.col(label).cast("double")).alias("x"))
     rows = rows.filter(F.col("fold").isNotNull() & F.col("x").isNotNull() & F.get("x", F.size("x") - 1).isNotNull())
     schema = pa.schema([("fold", pa.int32()), ("at", pa.int32()), ("count", pa.float64()), ("mean", pa.list_(pa.float64())), ("row", pa.list_(pa.float64()))])
 

@@ -125,7 +125,7 @@ def with_arrays(df: DataFrame, features: str, out: T.StructField, compute) -> Da
                 column = pa.nulls(part.num_rows, _arrow(out.dataType)) if found is None else found.take(pa.array(place, mask=place < 0))
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], column], names=[*part.schema.names[:at], out.name])
 
-    return df.withColumn("__features", vector_to_array(features)).mapInArrow(run, schema)
+    return df.withColumn("__features", F.when(F.col(features).isNotNull(), vector_to_array(features))).mapInArrow(run, schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

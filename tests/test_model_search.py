@@ -76,7 +76,8 @@ def test_sweep_reads_the_rows_once(spark, noisy):
 def test_sweep_without_rows_or_with_nulls(spark, noisy):
     x, y, fold = noisy
     df = table(spark, x, y, fold)
-    odd = df.limit(20).withColumn("label", F.lit(None).cast("double")).unionByName(df.limit(5).withColumn("fold", F.lit(None).cast("int")))
+    df = df.withColumn("features", F.when(F.col("x0").isNotNull(), F.col("features")))
+    odd = df.limit(3).withColumn("features", F.when(F.lit(False), F.col("features"))).unionByName(df.limit(20).withColumn("label", F.lit(None).cast("double"))).unionByName(df.limit(5).withColumn("fold", F.lit(None).cast("int")))
     a, b = (sweep.penalty_sweep(d, {"ridge": [1.0]}).first()["rmse"] for d in (df, df.unionByName(odd)))
     assert a == pytest.approx(b)
     assert sweep.penalty_sweep(df.limit(0), {"ridge": [1.0]}).count() == 0
