@@ -98,19 +98,19 @@ def _profile_sql(keys, where=""):
 
 @check("agg_08_group_profile", _profile_sql(["permit_creation_year"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost"),
+    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost", exact=True),
                     4, "mean_cost")
 
 
 @check("agg_08_group_profile_known_keys", _profile_sql(["adu"], "WHERE adu IS NOT NULL"))
 def _(spark, sf):
     return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["adu"], "target_cost",
-                                          keep_null_keys=False), 4, "mean_cost")
+                                          keep_null_keys=False, exact=True), 4, "mean_cost")
 
 
 @check("agg_09_group_profile_two_keys", _profile_sql(["zone", "category"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["zone", "category"], "target_cost"),
+    return _rounded(profile.group_profile(fx.target_jobs(spark, sf), ["zone", "category"], "target_cost", exact=True),
                     4, "mean_cost")
 
 
@@ -153,7 +153,7 @@ def _(spark, sf):
 
 @check("agg_15_source_by_split", _profile_sql(["split", "target_source"]))
 def _(spark, sf):
-    return _rounded(profile.group_profile(fx.split_jobs(spark, sf), ["split", "target_source"], "target_cost"),
+    return _rounded(profile.group_profile(fx.split_jobs(spark, sf), ["split", "target_source"], "target_cost", exact=True),
                     4, "mean_cost")
 
 
@@ -271,14 +271,14 @@ def _(spark, sf):
 
 @check("top_01_largest_groups", f"""{_profile_sql(["zone", "segment"])} ORDER BY projects DESC, zone, segment LIMIT 20""")
 def _(spark, sf):
-    groups = profile.group_profile(fx.target_jobs(spark, sf), ["zone", "segment"], "target_cost")
+    groups = profile.group_profile(fx.target_jobs(spark, sf), ["zone", "segment"], "target_cost", exact=True)
     return _rounded(ranking.top_rows(groups, "projects", 20, ["zone", "segment"]), 4, "mean_cost")
 
 
 @check("top_02_sorted_by_key", _profile_sql(["permit_creation_year", "permit_creation_month"]))
 def _(spark, sf):
     keys = ["permit_creation_year", "permit_creation_month"]
-    groups = profile.group_profile(fx.target_jobs(spark, sf), keys, "target_cost")
+    groups = profile.group_profile(fx.target_jobs(spark, sf), keys, "target_cost", exact=True)
     return _rounded(groups, 4, "mean_cost").orderBy(*keys)
 
 
@@ -312,5 +312,5 @@ def _(spark, sf):
 
 @check("top_07_since_year", _profile_sql(["permit_creation_year"], "WHERE permit_creation_year >= 1998"))
 def _(spark, sf):
-    trend = profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost")
+    trend = profile.group_profile(fx.target_jobs(spark, sf), ["permit_creation_year"], "target_cost", exact=True)
     return _rounded(profile.since(trend, "permit_creation_year", 1998), 4, "mean_cost")

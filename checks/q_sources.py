@@ -77,7 +77,7 @@ _BY_ZONE = """SELECT zone, count(*) AS projects, round(avg(target_cost), 4) AS m
 
 
 def _zone_profile(spark, sf):
-    found = profile.group_profile(fx.target_jobs(spark, sf), ["zone"], "target_cost")
+    found = profile.group_profile(fx.target_jobs(spark, sf), ["zone"], "target_cost", exact=True)
     return found.withColumn("mean_cost", F.round("mean_cost", 4))
 
 
