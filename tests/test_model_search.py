@@ -179,6 +179,25 @@ def test_huber_rounds_are_the_plain_ones(spark):
     assert model.transform(with_null).first()["prediction"] is None
 
 
+def test_few_huber_nodes_are_an_expression(spark, noisy, monkeypatch):
+    df = table(spark, *noisy)
+    settled = []
+    settle = huber.settle
+    monkeypatch.setattr(huber, "settle", lambda rows: (settled.append(1), settle(rows))[1])
+    model = huber.fit_huber(df, rounds=5, depth=3, rate=0.3)
+    assert len(model.trees) == 5 and not settled  # the last round leaves no residuals behind
+    odd = df.limit(2).withColumn("features", F.when(F.lit(False), F.col("features")))
+    rows = df.unionByName(odd)
+    found = model.transform(rows)
+    assert "Arrow" not in found._jdf.queryExecution().toString()
+    got = [r["prediction"] for r in found.collect()]
+    monkeypatch.setattr(huber, "FEW_NODES", 0)
+    assert got == [r["prediction"] for r in model.transform(rows).collect()] and got[-2:] == [None, None]
+    tree = trees.Tree(np.array([0, -1, -1]), np.array([1.0, 0, 0]), np.array([1, -1, -1]), np.array([2, -1, -1]), np.array([0.0, 5.0, 7.0]), np.zeros(3))
+    nan = spark.createDataFrame([([float("nan")],), ([1.0],)], "x array<double>").select(tree.expression(F.col("x")))
+    assert [r[0] for r in nan.collect()] == [7.0, 5.0]
+
+
 def test_scores_of_both_sides_and_their_run_row(spark, noisy, tmp_path):
     df = table(spark, *noisy)
     scores = crossval.cross_validated_sides({"line": models.ridge_log_cost(penalty=0.0, solver="normal")}, df, folds=5)
