@@ -113,7 +113,11 @@ def repeated_keys(rows: DataFrame, keys, hot: int) -> DataFrame:
     same = F.when(F.col("low") == F.col("high"), UNIFORM).otherwise(MIXED)
     groups = (made.groupBy("h").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
               .filter("n > 1").select("h", "n", same.cast("tinyint").alias("kind")))
-    again = stow(made.join(stow(groups, "sketch-groups"), "h"), "repeated-keys")
+    return listed_keys(stow(made.join(stow(groups, "sketch-groups"), "h"), "repeated-keys"), hot)
+
+
+def listed_keys(again: DataFrame, hot: int) -> DataFrame:
+    """The result of :func:`repeated_keys` from the written (h, x, rid, n, kind) of all keys that occur more than once, n times."""
     # only a key with very many rows can have very many contents; there are few such keys
     large = again.filter((F.col("n") > hot) & (F.col("kind") == MIXED)).groupBy("h", "x").agg(F.count("*").alias("n"))
     large = large.groupBy("h").agg(F.count("*").alias("contents")).filter(F.col("contents") > hot).select("h", F.lit(True).alias("large"))
