@@ -3,11 +3,11 @@
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from checks import q_models, registry
-from costlake.operators import boosting, cells
+from costlake.operators import boosting, cells, forest_grid
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +86,37 @@ def test_bins_part_at_equal_shares_and_odd_values():
     odd = cells.parting(np.array([-np.inf, 0.0, np.inf, np.nan]), np.ones(4, int), 64)
     assert odd.tolist() == [-np.inf, 0.0] and cells.parting(np.array([3.0]), np.array([5]), 64).tolist() == []
     assert [cells.columns_of(s, 41, 1) for s in ("all", "auto", "sqrt", "onethird", "0.2", "5", "1.0")] == [41, 41, 7, 14, 9, 5, 41]
+
+
+def test_grid_search_on_shared_vectors_scores_as_spark_does(spark, shared_vectors, tmp_path, monkeypatch):
+    rows = shared_vectors.withColumn("fold", F.col("id") % 3)  # folds 0 and 1 are held in turn
+    grid = forest_grid.Grid(trees=(10, 40), depth=(3, 8), least_split=(2, 60), least_leaf=(1, 20))
+    want = forest_grid.forest_scores(rows, grid, "plain", str(tmp_path / "plain"), folds=2)
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda *a: pytest.fail("a fit of Spark"))
+    got = forest_grid.forest_scores(rows, grid, "cells", str(tmp_path / "cells"), folds=2, parallelism=2, key="id")
+    keys = ["trees", "depth", "least_split", "least_leaf", "fold"]
+    both = got.join(want.withColumnRenamed("rmse", "plain"), keys).collect()
+    assert len(both) == 2 * 16
+    # the draws are others, so errors are alike only
+    assert all(r["rmse"] == pytest.approx(r["plain"], rel=0.03) for r in both)
+    again = forest_grid.forest_scores(rows.repartition(5), grid, "again", str(tmp_path / "cells"), folds=2, key="id")
+    assert all(r["rmse"] == pytest.approx(r["other"]) for r in again.join(got.withColumnRenamed("rmse", "other"), keys).collect())
+    odd = rows.unionByName(rows.limit(3).withColumn("label", F.lit(None).cast("double"))).withColumn("id", F.when(F.col("id") > 5, F.col("id")))
+    assert forest_grid.forest_scores(odd, forest_grid.Grid((2,), (2,), (2,), (1,)), "odd", str(tmp_path / "odd"), folds=4, key="id").count() == 3
+
+
+def test_errors_on_cells_are_those_of_all_held_rows(spark, shared_vectors):
+    rows = shared_vectors.select("features", "label", (F.col("id") % 2).alias("fold"), F.xxhash64("id").alias("__dealt"))
+    grid = forest_grid.Grid(trees=(2, 4), depth=(2, 5), least_split=(2,), least_leaf=(3,))
+    forests = forest_grid.CellForests(rows, grid, "features", "label", "fold", 2, 0, dict(maxBins=64, subsamplingRate=1.0, featureSubsetStrategy="all"))
+    grown = []
+    nested = forest_grid.nested_predictions
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(forest_grid, "nested_predictions", lambda forest, *a: (grown.append(forest), nested(forest, *a))[1])
+        got = forests.errors_of(3, [0, 1])((3, 1))
+    # trees know the draws of the other fold only
+    assert all(800 < t.count[0] < 1200 and t.count[t.feature < 0].min() >= 3 for t in grown[0]) and len(grown[0]) == 4
+    scored = nested(grown[0], grid, rows.filter("fold = 1"))
+    want = scored.agg(*[F.sqrt(F.avg(F.pow(F.get("predictions", i) - F.col("label"), 2))) for i in range(4)]).first()
+    assert got == pytest.approx(list(want))
+    forests.close()
