@@ -25,8 +25,8 @@ SHINGLE, PASSAGE, SIMILARITY = 5, 50, 0.8
 ENOUGH = 3
 #: Unlike contents beyond which a hash is dealt out as pairs of blocks of half as many.
 HOT = 4096
-#: Contents of a hash that are compared pair by pair; of more, those that share shingles are looked up.
-FEW = 6
+#: Contents of a hash that are compared pair by pair, those of many hashes at once; of more, those that share shingles are looked up.
+FEW = 12
 #: Pairs of contents that are compared at a time, whose passages are counted, and that are looked at; cells of a table of contents and shingles.
 BATCH, SOME, PAIRS, DENSE = 64, 1024, 65_536, 8_000_000
 #: One row in so many tells which shingles are frequent, those that come this often in its rows; and how many of them are kept in mind.
@@ -265,27 +265,40 @@ def near_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = slim.join(judged.withColumnsRenamed({"first": "from", "last": "to", "class_id": "of"}), ["h", "x"], "left")
     known = known.filter((F.col("kind") == UNIFORM) | F.col("of").isNotNull()).select("id", "rid", "kb", "low", "from", "to", "of", *whole)
     spans = known.select("id", "rid", "kb", "low", *[F.coalesce(a, b).alias(b) for a, b in (("from", "first"), ("to", "last"), ("of", "class_id"))])
-    spans = spans.select("id", "rid", "kb", (F.col("low") + F.col("first")).alias("start"),
+    spans = spans.select("rid", "kb", "id", (F.col("low") + F.col("first")).alias("start"),
                          (F.col("low") + F.col("last") + width + SHINGLE - 1).alias("end"), "class_id")
     # within a row, overlapping spans are one passage; it is named by its least class and lists all
-    runs = F.sort_array(F.collect_set(F.struct("start", "end", "class_id")))
-    empty = F.array().cast("array<struct<start:int,end:int,class_id:bigint>>")
+    runs = spans.repartition("rid", "kb").sortWithinPartitions("rid", "kb", "start", "end", "class_id")
+    passages = "start_word int, end_word int, class_id bigint, class_ids array<bigint>"
+    return runs.mapInArrow(_passages(arrow_type(kind)), f"id {kind.simpleString()}, {passages}").withColumnRenamed("id", id_col)
 
-    def join(done, s):
-        last = F.element_at(done, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.least(last["class_id"], s["class_id"]).alias("class_id"))
-        return (F.when(F.size(done) == 0, F.array(s)).when(s["start"] < last["end"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown)))
-                .otherwise(F.concat(done, F.array(s))))
 
-    def with_classes(s):
-        mine = F.filter("runs", lambda r: (r["start"] >= s["start"]) & (r["start"] < s["end"]))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["class_id"].alias("class_id"),
-                        F.array_sort(F.array_distinct(F.transform(mine, lambda r: r["class_id"]))).alias("class_ids"))
+def _passages(id_type: pa.DataType):
+    """The passages of (rid, kb, id, start, end, class_id) rows, which are sorted but for the id: spans of a row that overlap are one passage."""
+    schema = pa.schema([("id", id_type), ("start_word", pa.int32()), ("end_word", pa.int32()), ("class_id", pa.int64()), ("class_ids", pa.list_(pa.int64()))])
 
-    merged = spans.groupBy("rid", "kb").agg(F.first("id").alias("id"), runs.alias("runs"))
-    merged = merged.select("id", F.explode(F.transform(F.aggregate("runs", empty, join), with_classes)).alias("s"))
-    return merged.select(F.col("id").alias(id_col), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"),
-                         F.col("s.class_id").alias("class_id"), F.col("s.class_ids").alias("class_ids"))
+    def unlike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # repeated rows have the same spans
+            columns = [batch.column(i).to_numpy() for i in (0, 1, 3, 4, 5)]
+            new = np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0)) if batch.num_rows else np.zeros(0, bool)
+            yield batch.filter(pa.array(new))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(unlike(batches), 2):
+            rid, kb, start, end, of = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 1, 3, 4, 5))
+            row = np.cumsum(np.append(False, (rid[1:] != rid[:-1]) | (kb[1:] != kb[:-1]))) * (int(end.max()) + 1)
+            reached = np.maximum.accumulate(end + row)
+            first = np.flatnonzero(np.append(True, start[1:] + row[1:] >= reached[:-1]))
+            passage = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+            order = np.lexsort((of, passage))
+            passage, named = passage[order], of[order]
+            unlike_ = np.append(True, (passage[1:] != passage[:-1]) | (named[1:] != named[:-1]))
+            passage, named = passage[unlike_], named[unlike_]
+            at = np.searchsorted(passage, np.arange(len(first) + 1))
+            yield record(schema, batch.column(2).take(pa.array(first)), start[first].astype(np.int32), np.maximum.reduceat(end, first).astype(np.int32),
+                         named[at[:-1]], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(named)))
+
+    return run
 
 
 def _blocks(crowded: DataFrame, hot: int, width: int, similarity: float) -> DataFrame:
@@ -380,11 +393,11 @@ def _kinds(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray) -> np.ndarray
     return np.where(listed[order][at] == mine, kind[order][at], -1) if len(listed) else np.full(len(text), -1)
 
 
-def _whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches, parted only between groups, which the first three columns name."""
+def _whole_groups(batches: Iterable[pa.RecordBatch], named: int = 3) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, parted only between groups, which the first ``named`` columns name."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        keys = np.stack([batch.column(i).to_numpy() for i in range(named)])
         ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         if len(ends):
             yield pa.concat_batches([*held, batch.slice(0, ends[-1])])
@@ -416,7 +429,7 @@ def _verify(width: int, similarity: float):
             contents.extend(*_cells(batch.column(7).take(pa.array(at)), width), repeats, later, rid, low)
             sizes = np.bincount(group)
             bounds = np.concatenate([[0], np.cumsum(sizes)])
-            few = (sizes <= FEW) & np.logical_and.reduceat(contents.plain, bounds[:-1])
+            few = sizes <= FEW
             contents.resolve_few(np.where(few[group], group, -1), a != b)
             for which in np.flatnonzero(~few).tolist():
                 start, end = int(bounds[which]), int(bounds[which + 1])
@@ -510,12 +523,14 @@ class Contents:
             setattr(self, name, np.concatenate([getattr(self, name), more]))
 
     def resolve_few(self, group: np.ndarray, between: np.ndarray) -> None:
-        """Compare the contents of each group of up to ``FEW`` plain ones, of all groups at once; contents of group -1 are left."""
+        """Compare the contents of each group of up to ``FEW``, of all groups at once; contents of group -1 are left."""
         links = [np.zeros((2, 0), np.int64)]
         for step in range(1, min(FEW, len(group))):
             a = np.flatnonzero((group[step:] == group[:-step]) & (group[step:] >= 0))
             a = a[~between[a] | (self.later[a] != self.later[a + step])]
-            links.append(self._compare(a, a + step))
+            plain = self.plain[a] & self.plain[a + step]
+            for some in (a[plain], a[~plain]):
+                links.append(self._compare(some, some + step))
         self._link(np.concatenate(links, axis=1), 0, len(group))
 
     def resolve(self, between: bool, start: int = 0, end: int | None = None) -> None:

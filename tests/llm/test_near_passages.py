@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from costlake.llm import substring_dedup
@@ -64,3 +65,49 @@ def test_looping_passages_with_the_same_shingles_meet(shift):
     # every passage holds all shingles of the loop, so all have a key in common
     begins = {n: set(low[(h == n) & (high - low == 45)].tolist()) for n in np.unique(h)}
     assert set(range(len(loop) * 3 - 49)) in begins.values()
+
+
+def test_small_groups_with_repeats_are_compared_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    contents = substring_dedup.Contents(46, 0.8)
+    texts = []
+    for _ in range(5):  # groups of three: a content with shingles that come again, a near one, another one
+        base = rng.integers(1, 1 << 31, 80).astype(np.uint32)
+        base[50:60] = base[10:20]
+        near = base.copy()
+        near[40] = 7
+        texts += [base, near, rng.integers(1, 1 << 31, 80).astype(np.uint32)]
+    for i, text in enumerate(texts):
+        contents.add(i, text, False, False, i, 0)
+    monkeypatch.setattr(substring_dedup.Contents, "resolve", lambda *a: pytest.fail("a group by itself"))
+    rows = pa.table({"h": np.repeat(np.arange(5), 3), "a": np.full(15, -1, np.int32), "b": np.full(15, -1, np.int32), "x": np.arange(15), "later": [False] * 15, "rid": np.arange(15),
+                     "low": np.zeros(15, np.int32), "content": [t.tobytes() for t in texts], "n": np.ones(15, np.int32)})
+    rows = rows.set_column(7, "content", rows.column("content").cast(pa.binary()))
+    out = pa.Table.from_batches(substring_dedup._verify(46, 0.8)(rows.to_batches(max_chunksize=4)))
+    assert set(out.column("x").to_pylist()) == {i for i in range(15) if i % 3 < 2}
+    for h in range(5):
+        want = substring_dedup.near_places(texts[3 * h], texts[3 * h + 1], 46, 0.8)
+        mine = [(r["first"], r["last"]) for r in out.to_pylist() if r["x"] == 3 * h]
+        assert sorted(i for a, b in mine for i in range(a, b + 1)) == np.flatnonzero(want.any(axis=1)).tolist()
+        assert len({r["class_id"] for r in out.to_pylist() if r["h"] == h}) == 1
+
+
+def test_spans_of_a_row_that_overlap_are_one_passage():
+    rng = np.random.default_rng(5)
+    rows = sorted({(int(r), int(k), int(s), int(s + n), int(c)) for r, k, s, n, c in zip(
+        rng.integers(0, 12, 400), rng.integers(0, 2, 400), rng.integers(0, 300, 400), rng.integers(1, 20, 400), rng.integers(-50, 50, 400))})
+    rows += [rows[-1]] * 3  # repeated rows
+    want = []
+    for key in sorted({r[:2] for r in rows}):
+        done = []
+        for _, _, start, end, of in sorted({r for r in rows if r[:2] == key}):
+            if done and start < done[-1][1]:
+                done[-1] = (done[-1][0], max(done[-1][1], end), done[-1][2] | {of})
+            else:
+                done.append((start, end, {of}))
+        want += [(f"{key}", s, e, min(of), sorted(of)) for s, e, of in done]
+    rid, kb, start, end, of = (np.array(c) for c in zip(*rows))
+    table = pa.table({"rid": rid, "kb": kb, "id": [f"{r[:2]}" for r in rows], "start": start.astype(np.int32), "end": end.astype(np.int32), "class_id": of})
+    for size in (7, 1000):
+        got = pa.Table.from_batches(substring_dedup._passages(pa.string())(table.to_batches(max_chunksize=size)))
+        assert [tuple(r.values()) for r in got.to_pylist()] == want
